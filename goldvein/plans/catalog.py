@@ -124,3 +124,228 @@ def q_orphan_facts(spark, d):
     """Events whose contact key has no golden contact."""
     ev = fx.silver_events(spark, d, "crm")
     return gold.orphan_facts(ev, golden(spark, d)).select("event_id", "contact_key", "brand_id")
+
+
+# ---------------------------------------------------------------- column functions
+
+from goldvein.functions.dates import days_between, hours_between  # noqa: E402
+from goldvein.functions.masks import (AccessContext, ROLE_ARCHITECT, ROLE_STEWARD,  # noqa: E402
+                                      mask_email, mask_phone, mask_ssn)
+from goldvein.functions.text import is_valid_email, mvr_email  # noqa: E402
+from goldvein.sources.tables import read  # noqa: E402
+
+ANALYST = "ROLE_ANALYST"
+
+
+@register("valid_email")
+def q_valid_email(spark, d):
+    """E-mail predicates on raw bronze values."""
+    e = F.col("email")
+    return bronze(spark, d).select("source_system", "source_id", "email",
+                                   is_valid_email(e).alias("valid_email"),
+                                   mvr_email(e).alias("mvr_email"),
+                                   F.length(e).alias("email_length"))
+
+
+@register("mask_email")
+def q_mask_email(spark, d):
+    """E-mail mask for an analyst and a steward."""
+    e = F.col("email")
+    return bronze(spark, d).select("source_system", "source_id", "email",
+                                   mask_email(e, ANALYST).alias("email_analyst"),
+                                   mask_email(e, ROLE_STEWARD).alias("email_steward"))
+
+
+@register("mask_phone")
+def q_mask_phone(spark, d):
+    """Phone mask (last four digits) for an analyst and a steward."""
+    p = F.col("phone")
+    return bronze(spark, d).select("source_system", "source_id", "phone",
+                                   mask_phone(p, ANALYST).alias("phone_analyst"),
+                                   mask_phone(p, ROLE_STEWARD).alias("phone_steward"))
+
+
+@register("mask_ssn")
+def q_mask_ssn(spark, d):
+    """Constant mask for all but the architect (NULL masked too); the
+    phone column stands in for an SSN column."""
+    p = F.col("phone")
+    return bronze(spark, d).select("source_system", "source_id",
+                                   mask_ssn(p, ANALYST).alias("ssn_analyst"),
+                                   mask_ssn(p, ROLE_ARCHITECT).alias("ssn_architect"))
+
+
+@register("scalar_dates")
+def q_scalar_dates(spark, d):
+    """Day and hour-boundary differences, interval arithmetic."""
+    o = read(spark, d, "orders", "o_orderkey", "o_orderdate")
+    t = F.col("o_orderdate")
+    iv = F.make_dt_interval(days=F.lit(3))
+    return o.select("o_orderkey", "o_orderdate",
+                    days_between(t, as_of()).cast("bigint").alias("days_to_as_of"),
+                    hours_between(t, as_of()).cast("bigint").alias("hours_to_as_of"),
+                    (t + iv).alias("plus_3_days"), (t - iv).alias("minus_3_days"))
+
+
+# ---------------------------------------------------------------- quality
+
+from goldvein.operators import quality as Q  # noqa: E402
+from goldvein.operators.anomaly import anomaly_flags  # noqa: E402
+from goldvein.sources import contacts as C  # noqa: E402
+
+NULL_RATE_COLUMNS = ["first_name", "last_name", "phone", "company_name", "job_title"]
+
+
+@register("null_rate")
+def q_null_rate(spark, d):
+    """Null-rate profile of the golden contacts."""
+    return Q.null_rates(golden(spark, d), "silver_contacts", NULL_RATE_COLUMNS)
+
+
+@register("freshness")
+def q_freshness(spark, d):
+    """Freshness of each bronze source at the as-of time."""
+    crm = C.crm_scan(fx.crm_contacts(spark, d))
+    mkt = C.marketing_scan(fx.marketing_subscribers(spark, d))
+    evs = C.events_scan(fx.event_registrations(spark, d), as_of())
+    parts = [Q.freshness(crm, "bronze_crm", "ingested_at", as_of()),
+             Q.freshness(mkt, "bronze_marketing", "ingested_at", as_of()),
+             Q.freshness(evs, "bronze_events", "created_at", as_of())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("dq_summary")
+def q_dq_summary(spark, d):
+    """Score summary of the golden contacts."""
+    return Q.dq_summary(golden(spark, d), "silver_contacts", as_of())
+
+
+@register("dq_gate")
+def q_dq_gate(spark, d):
+    """The daily quality gate."""
+    return Q.dq_gate(golden(spark, d), as_of())
+
+
+@register("dq_rules")
+def q_dq_rules(spark, d):
+    """Dictionary rules, one pass per table."""
+    return (Q.evaluate_rules(golden(spark, d), Q.CONTACT_RULES)
+            .unionByName(Q.evaluate_rules(fact(spark, d), Q.FACT_RULES)))
+
+
+@register("unique_check")
+def q_unique_check(spark, d):
+    """K2, K8: keys held by more than one row."""
+    g = golden(spark, d)
+    return (Q.unique_violations(g, "silver.contacts", ["contact_key"])
+            .unionByName(Q.unique_violations(g, "silver.contacts", ["email"]))
+            .unionByName(Q.unique_violations(scored(spark, d), "silver.standardized", ["email"]))
+            .unionByName(Q.unique_violations(bronze(spark, d), "bronze.contacts",
+                                             ["source_system", "source_id"])))
+
+
+@register("accepted_values")
+def q_accepted_values(spark, d):
+    """K3: value distribution of coded fact columns against the accepted sets."""
+    checks = {"event_type": Q.EVENT_TYPES, "registration_source": Q.REGISTRATION_SOURCES,
+              "rfm_segment": Q.RFM_SEGMENTS, "brand_region": Q.BRAND_REGIONS}
+    f = fact(spark, d)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"),
+                 F.col(c).isin(*vals).alias("accepted")) for c, vals in checks.items()]))
+    return (f.select(pairs.alias("p")).select("p.*")
+            .groupBy("column_name", "value", "accepted").agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("range_check")
+def q_range_check(spark, d):
+    """K4: dq_score within 0-100 on every scored record."""
+    rule = Q.Rule("RG-dq_score", "silver.standardized", "dq_score", "range", params=(0, 100))
+    return Q.evaluate_rules(scored(spark, d), [rule])
+
+
+@register("phone_format")
+def q_phone_format(spark, d):
+    """K5: golden contacts whose phone is not XXX-XXX-XXXX."""
+    g = golden(spark, d)
+    return g.where(F.col("phone").isNotNull() & ~F.col("phone").rlike(Q.PHONE_PATTERN)) \
+            .select("contact_key", "source_system", "phone")
+
+
+@register("anomaly_flags")
+def q_anomaly_flags(spark, d):
+    """Z-score flags of event values per type."""
+    ev = read(spark, d, "events", "event_id", "event_type", "value")
+    a = anomaly_flags(ev, "event_id", "event_type", "value", as_of())
+    return a.select("event_id", "event_type", "value",
+                    F.round("avg_value", 6).alias("avg_value"),
+                    F.round("std_value", 6).alias("std_value"),
+                    F.round("z_score", 6).alias("z_score"), "is_anomaly", "detected_at")
+
+
+# ---------------------------------------------------------------- governance
+
+from goldvein.operators.security import brand_filter  # noqa: E402
+from goldvein.sources.sinks import refresh_audit  # noqa: E402
+
+
+@register("row_filter")
+def q_row_filter(spark, d):
+    """Fact rows visible to analyst a@x (brands granted to a@x)."""
+    ctx = AccessContext("a@x", ANALYST)
+    f = brand_filter(fact(spark, d), ctx, fx.brand_grants(spark, d))
+    return f.select("fact_key", "event_id", "brand_id", "contact_key")
+
+
+@register("audit_log")
+def q_audit_log(spark, d):
+    """Refresh audit row of the gold fact (id and time are
+    generated, so only the stable columns are returned)."""
+    a = refresh_audit(fact(spark, d), "gold.fact_events", "etl@x", "ROLE_DATA_ENGINEER", as_of())
+    return a.select("table_name", "action", "row_count", "user_name", "role_name", "event_time")
+
+
+# ---------------------------------------------------------------- incremental
+
+from goldvein.operators.incremental import incremental_scan, merge_upsert  # noqa: E402
+
+BATCH1_CUTOFF = "2024-01-20 00:00:00"
+
+
+def _batches(spark, d):
+    b = bronze(spark, d)
+    target = mdm.golden_records(
+        mdm.quality_scored(mdm.standardize(b.where(F.col("ingested_at") < fx.ts(BATCH1_CUTOFF)))),
+        as_of())
+    return b, target
+
+
+@register("incremental_scan")
+def q_incremental_scan(spark, d):
+    """Bronze rows newer than the target's high-water mark
+    minus three days."""
+    b, target = _batches(spark, d)
+    return incremental_scan(b, target)
+
+
+@register("merge_upsert")
+def q_merge_upsert(spark, d):
+    """Merge of the second batch into the first, with a new column."""
+    b, target = _batches(spark, d)
+    src = mdm.golden_records(mdm.quality_scored(mdm.standardize(incremental_scan(b, target))), as_of())
+    src = src.withColumn("lead_source", F.lower("source_system"))
+    return merge_upsert(target, src)
+
+
+@register("table_round_trip")
+def q_table_round_trip(spark, d):
+    """Bronze written partitioned by ingestion date to
+    the shared folder and read back."""
+    from goldvein.session import scratch_path
+    from goldvein.sources.sinks import write_bronze
+    path = scratch_path(spark, "bronze")
+    write_bronze(bronze(spark, d), path)
+    return spark.read.parquet(path)
