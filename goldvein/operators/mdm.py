@@ -97,3 +97,52 @@ def steward_queue(scored: DataFrame, as_of: Column, hot_threshold: int = DEFAULT
 def silver_contacts(bronze: DataFrame, as_of: Column, prefer: str = "best") -> DataFrame:
     """Standardise, score, resolve: the silver build of one batch."""
     return golden_records(quality_scored(standardize(bronze)), as_of, prefer)
+
+
+# ------------------------------------------------------------------ match tiers and merges
+
+from goldvein.functions.scoring import TIER_HIGH, TIER_MEDIUM, match_tier  # noqa: E402
+from goldvein.session import cut_lineage  # noqa: E402
+
+# The action of each match tier.
+TIER_ACTIONS = {"EXACT": "Auto-merge", "HIGH": "Auto-merge with audit log",
+                "MEDIUM": "Steward review queue", "LOW": "Reject — keep separate"}
+
+
+def with_match_tier(pairs: DataFrame, high: float = TIER_HIGH, medium: float = TIER_MEDIUM) -> DataFrame:
+    """Tier and action per scored pair (EXACT when the e-mails agree)."""
+    tier = match_tier(F.col("email_a") == F.col("email_b"), F.col("similarity_score"), high, medium)
+    action = F.create_map(*[x for k, v in TIER_ACTIONS.items() for x in (F.lit(k), F.lit(v))])
+    return pairs.withColumn("match_tier", tier).withColumn("tier_action", F.element_at(action, tier))
+
+
+def connected_groups(edges: DataFrame, a: str = "contact_key_a", b: str = "contact_key_b") -> DataFrame:
+    """(node, group_id): each node of the edge list labelled with the
+    smallest node of its connected component.
+
+    Min-label propagation with joins and partial aggregates; every round is
+    checkpointed to the shared folder (bounded lineage, survives executor
+    loss) and the loop stops when no label changes (one scalar count per
+    round reaches the driver)."""
+    e = edges.select(F.col(a).alias("src"), F.col(b).alias("dst"))
+    e = cut_lineage(e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+                    .where(F.col("src") != F.col("dst")).distinct())
+    labels = cut_lineage(e.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("label"))
+                         .withColumnRenamed("src", "node"))
+    while True:
+        pushed = (e.join(labels, e["src"] == labels["node"])
+                  .groupBy("dst").agg(F.min("label").alias("cand")))
+        nxt = (labels.join(pushed, labels["node"] == pushed["dst"], "left")
+               .select("node", F.least(F.col("label"), F.coalesce(F.col("cand"), F.col("label")))
+                       .alias("label"), F.col("label").alias("old")))
+        nxt = cut_lineage(nxt)
+        changed = nxt.where(F.col("label") != F.col("old")).count()
+        labels = nxt.select("node", "label")
+        if changed == 0:
+            return labels.select(F.col("node"), F.col("label").alias("group_id"))
+
+
+def auto_merge_groups(tiered_pairs: DataFrame) -> DataFrame:
+    """HIGH pairs merged into one golden id per connected group."""
+    high = tiered_pairs.where(F.col("match_tier") == "HIGH")
+    return connected_groups(high).select(F.col("node").alias("contact_key"), "group_id")

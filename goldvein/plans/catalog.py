@@ -349,3 +349,65 @@ def q_table_round_trip(spark, d):
     path = scratch_path(spark, "bronze")
     write_bronze(bronze(spark, d), path)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- duplicates, tiers, merges
+
+from goldvein.operators.duplicates import potential_duplicates  # noqa: E402
+
+MDM_MATCH_THRESHOLD = 0.85   # the project's declared match floor
+
+
+@register("duplicates_exact")
+def q_duplicates_exact(spark, d):
+    """Contact pairs with identity similarity
+    > 0.92 (trigram vectors, prefix-filtered inverted index)."""
+    return potential_duplicates(golden(spark, d))
+
+
+@register("match_tiers")
+def q_match_tiers(spark, d):
+    """L3: tier and action of every pair above the match floor 0.85."""
+    p = potential_duplicates(golden(spark, d), threshold=MDM_MATCH_THRESHOLD, sort=False)
+    return mdm.with_match_tier(p).select("contact_key_a", "contact_key_b", "similarity_score",
+                                         "match_tier", "tier_action")
+
+
+@register("merged_groups")
+def q_merged_groups(spark, d):
+    """Connected groups of HIGH pairs (one golden id per group)."""
+    p = potential_duplicates(golden(spark, d), threshold=MDM_MATCH_THRESHOLD, sort=False)
+    return mdm.auto_merge_groups(mdm.with_match_tier(p))
+
+
+# ---------------------------------------------------------------- enrichment
+
+from goldvein.operators import enrich  # noqa: E402
+
+
+@register("personas")
+def q_personas(spark, d):
+    """Persona of every titled golden contact."""
+    return enrich.contact_personas(golden(spark, d), as_of())
+
+
+@register("feedback_scored")
+def q_feedback_scored(spark, d):
+    """Lexicon sentiment of user feedback, labelled."""
+    return enrich.feedback_scored(fx.event_feedback(spark, d), as_of())
+
+
+@register("dq_narrative")
+def q_dq_narrative(spark, d):
+    """Narrative from the contact score average, the worst null rate
+    and the event anomaly count."""
+    g = golden(spark, d)
+    summ = Q.dq_summary(g, "silver_contacts", as_of()).select("model_name", "avg_dq_score")
+    worst = Q.null_rates(g, "silver_contacts", NULL_RATE_COLUMNS).agg(F.max("null_pct").alias("null_pct"))
+    ev = read(spark, d, "events", "event_id", "event_type", "value")
+    anomalies = (anomaly_flags(ev, "event_id", "event_type", "value", as_of())
+                 .agg(F.count_if(F.col("is_anomaly")).alias("anomaly_count")))
+    # three one-row aggregates side by side
+    m = summ.withColumn("_j", F.lit(1)).join(worst.withColumn("_j", F.lit(1)), "_j") \
+            .join(anomalies.withColumn("_j", F.lit(1)), "_j").drop("_j")
+    return enrich.dq_narrative(m)
