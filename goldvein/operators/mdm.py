@@ -143,6 +143,7 @@ def connected_groups(edges: DataFrame, a: str = "contact_key_a", b: str = "conta
 
 
 def auto_merge_groups(tiered_pairs: DataFrame) -> DataFrame:
-    """HIGH pairs merged into one golden id per connected group."""
+    """HIGH pairs merged into one golden id per connected group. The pair
+    search can run directly at the HIGH bound (``inclusive=True``)."""
     high = tiered_pairs.where(F.col("match_tier") == "HIGH")
     return connected_groups(high).select(F.col("node").alias("contact_key"), "group_id")

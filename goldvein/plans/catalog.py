@@ -375,8 +375,9 @@ def q_match_tiers(spark, d):
 
 @register("merged_groups")
 def q_merged_groups(spark, d):
-    """Connected groups of HIGH pairs (one golden id per group)."""
-    p = potential_duplicates(golden(spark, d), threshold=MDM_MATCH_THRESHOLD, sort=False)
+    """Connected groups of HIGH pairs (one golden id per group). The
+    search runs at the HIGH bound itself (similarity >= 0.95)."""
+    p = potential_duplicates(golden(spark, d), threshold=mdm.TIER_HIGH, sort=False, inclusive=True)
     return mdm.auto_merge_groups(mdm.with_match_tier(p))
 
 
@@ -407,7 +408,7 @@ def q_dq_narrative(spark, d):
     ev = read(spark, d, "events", "event_id", "event_type", "value")
     anomalies = (anomaly_flags(ev, "event_id", "event_type", "value", as_of())
                  .agg(F.count_if(F.col("is_anomaly")).alias("anomaly_count")))
-    # three one-row aggregates side by side
-    m = summ.withColumn("_j", F.lit(1)).join(worst.withColumn("_j", F.lit(1)), "_j") \
-            .join(anomalies.withColumn("_j", F.lit(1)), "_j").drop("_j")
+    # the other two one-row aggregates enter as scalar subqueries (no join)
+    m = summ.select("model_name", "avg_dq_score", worst.scalar().alias("null_pct"),
+                    anomalies.scalar().alias("anomaly_count"))
     return enrich.dq_narrative(m)
