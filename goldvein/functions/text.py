@@ -16,14 +16,19 @@ def _delimiter_class() -> str:
     return "[\\s" + escaped + "]"
 
 
+# Private-use marker inserted after delimiters while capitalising.
+_MARK = "\ue000"
+
+
 def initcap_words(c: Column) -> Column:
     """INITCAP with punctuation delimiters: ``mary-jane o'brien`` ->
-    ``Mary-Jane O'brien``. Spark's ``initcap`` alone splits on spaces only,
-    so the text is first cut after every delimiter (look-behind split keeps
-    the delimiter), each piece is title-cased, and the pieces are re-joined.
-    NULL stays NULL."""
-    pieces = F.split(F.lower(c), "(?<=" + _delimiter_class() + ")")
-    return F.array_join(F.transform(pieces, lambda p: F.initcap(p)), "")
+    ``Mary-Jane O'brien``. Spark's ``initcap`` starts words after spaces
+    only, so a marker plus a space is inserted after every other delimiter,
+    ``initcap`` runs, and the inserted pairs are removed again. All three
+    steps are code-generated built-ins (no lambda). NULL stays NULL."""
+    others = _delimiter_class().replace("[\\s", "[\\t\\n\\x0B\\f\\r")
+    marked = F.regexp_replace(F.lower(c), "(" + others + ")", "$1" + _MARK + " ")
+    return F.regexp_replace(F.initcap(marked), _MARK + " ", "")
 
 
 def clean_email(c: Column) -> Column:

@@ -412,3 +412,18 @@ def q_dq_narrative(spark, d):
     m = summ.select("model_name", "avg_dq_score", worst.scalar().alias("null_pct"),
                     anomalies.scalar().alias("anomaly_count"))
     return enrich.dq_narrative(m)
+
+
+# ---------------------------------------------------------------- daily run
+
+@register("daily_run")
+def q_daily_run(spark, d):
+    """The whole daily job into a fresh folder under the shared
+    directory; returns the audit rows (table, action, row count)."""
+    from goldvein.plans.jobs import Inputs, run_daily
+    from goldvein.session import scratch_path
+    inp = Inputs(fx.crm_contacts(spark, d), fx.marketing_subscribers(spark, d),
+                 fx.event_registrations(spark, d), fx.silver_events(spark, d, "crm"),
+                 fx.silver_brands(spark, d), fx.event_feedback(spark, d))
+    audit = run_daily(spark, scratch_path(spark, "lake"), inp, as_of())
+    return audit.select("table_name", "action", "row_count", "gate_branch")
