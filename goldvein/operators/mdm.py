@@ -147,3 +147,21 @@ def auto_merge_groups(tiered_pairs: DataFrame) -> DataFrame:
     search can run directly at the HIGH bound (``inclusive=True``)."""
     high = tiered_pairs.where(F.col("match_tier") == "HIGH")
     return connected_groups(high).select(F.col("node").alias("contact_key"), "group_id")
+
+
+def rededuplicate(target: DataFrame, scored_batch: DataFrame, as_of: Column) -> DataFrame:
+    """Batch resolution that also sees the target (fixes the batch-only
+    dedup of the default merge): every e-mail group touched by the batch is
+    re-resolved over its target rows plus the batch rows, and replaces its
+    old rows; untouched groups stay. A golden id, once assigned to an
+    e-mail, is kept (stable ids)."""
+    touched = scored_batch.select("email").distinct()
+    old = target.join(touched, "email", "left_semi")
+    keep = target.join(touched, "email", "left_anti")
+    pool = scored_batch.unionByName(old.select(*scored_batch.columns))
+    fresh = golden_records(pool, as_of)
+    ids = old.groupBy("email").agg(F.min("mdm_golden_id").alias("_old_gid"))
+    fresh = (fresh.join(ids, "email", "left")
+             .withColumn("mdm_golden_id", F.coalesce(F.col("_old_gid"), F.col("mdm_golden_id")))
+             .drop("_old_gid"))
+    return keep.unionByName(fresh, allowMissingColumns=True).select(*target.columns)

@@ -1,0 +1 @@
+"""Structured Streaming execution of the incremental silver build."""
