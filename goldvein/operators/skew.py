@@ -77,18 +77,16 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
     return cold.unionByName(hot_ranked.select(*cold.columns))
 
 
-def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20_000) -> DataFrame:
-    """All unordered pairs (item_a < item_b) of items sharing ``key``.
+def _pairs_plain(df: DataFrame, key: str, item: str) -> DataFrame:
+    a = df.select(F.col(key), F.col(item).alias(item + "_a"))
+    b = df.select(F.col(key).alias("_kb"), F.col(item).alias(item + "_b"))
+    return (a.join(b, a[key] == b["_kb"])
+            .where(F.col(item + "_a") < F.col(item + "_b")).select(key, item + "_a", item + "_b"))
 
-    This is only used where every pair in a group is a required candidate
-    (an exact signature match). A group of g items is cut into
-    ceil(g / block_rows) blocks; each row is sent to the block pairs it
-    takes part in, so one task never holds more than two blocks and the
-    quadratic output of a hot group is spread over many tasks.
-    """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_g"))
+
+def _pairs_blocked(df: DataFrame, key: str, item: str, sizes: DataFrame, block_rows: int) -> DataFrame:
     nb = F.greatest(F.lit(1), F.ceil(F.col("_g") / F.lit(block_rows))).cast("int")
-    tagged = (df.join(sizes, key).withColumn("_nb", nb)
+    tagged = (df.join(F.broadcast(sizes), key).withColumn("_nb", nb)
               .withColumn("_blk", F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
     # Row in block b joins block pairs (min(b,o), max(b,o)) for every o.
     spread = tagged.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
@@ -100,9 +98,28 @@ def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20
     b = spread.select(F.col(key).alias("_kb"), F.col("_lo").alias("_lob"), F.col("_hi").alias("_hib"),
                       F.col("_blk").alias("_bb"), F.col(item).alias(item + "_b"))
     joined = a.join(b, (a[key] == b["_kb"]) & (a["_lo"] == b["_lob"]) & (a["_hi"] == b["_hib"]))
-    # Each (block pair) is formed once: rows of block lo on the left, hi on
+    # Each block pair is formed once: rows of block lo on the left, hi on
     # the right, or both in the same block when lo == hi.
     keep = (((F.col("_ba") == F.col("_lo")) & (F.col("_bb") == F.col("_hi"))) |
             ((F.col("_ba") == F.col("_hi")) & (F.col("_bb") == F.col("_lo"))))
     return (joined.where(keep & (F.col(item + "_a") < F.col(item + "_b")))
             .select(key, item + "_a", item + "_b"))
+
+
+def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20_000) -> DataFrame:
+    """All unordered pairs (item_a < item_b) of items sharing ``key``.
+
+    Only used where every pair in a group is a required candidate (an
+    exact signature match). Groups of at most ``block_rows`` items use a
+    plain self-join. A larger group of g items is cut into
+    ceil(g / block_rows) blocks and each row is sent to the block pairs it
+    takes part in, so one task never holds more than two blocks and the
+    quadratic output of a hot group is spread over many tasks. The list of
+    such groups is bounded by rows / block_rows and broadcast.
+    """
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_g"))
+    hot = sizes.where(F.col("_g") > block_rows)
+    if hot.count() == 0:
+        return _pairs_plain(df, key, item)
+    cold = _pairs_plain(df.join(F.broadcast(hot.select(key)), key, "left_anti"), key, item)
+    return cold.unionByName(_pairs_blocked(df, key, item, hot, block_rows))

@@ -57,6 +57,18 @@ def _three_digits(k: Column) -> Column:
     return F.lpad(_s(k % 1000), 3, "0")
 
 
+def _crm_columns(df: DataFrame, k: Column) -> DataFrame:
+    """E-mail and names of a CRM contact derived from its customer row."""
+    return df.withColumns({
+        "first_name": F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")),
+        "last_name": F.when(k % 11 == 0, F.lit(None).cast("string"))
+                      .otherwise(F.concat(F.lit("name-"), _s(k % 97))),
+        "email": F.when(k % 13 == 0, F.lit(None).cast("string"))
+                  .when(k % 17 == 0, F.lit("bad-address"))
+                  .otherwise(F.concat(F.lit(" User"), _s(F.floor(k / 2)), F.lit("@Example.com"))),
+    })
+
+
 def crm_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer x nation x part -> CRM contact rows."""
     c = read(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -66,14 +78,9 @@ def crm_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
           .join(p, p.p_partkey == c.c_custkey, "left"))
     created = plus_days(ts("2024-01-01 00:00:00"), k % 300)
-    return df.select(
-        _s(k).alias("id"),
-        F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("first_name"),
-        F.when(k % 11 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("name-"), _s(k % 97))).alias("last_name"),
-        F.when(k % 13 == 0, F.lit(None).cast("string"))
-         .when(k % 17 == 0, F.lit("bad-address"))
-         .otherwise(F.concat(F.lit(" User"), _s(F.floor(k / 2)), F.lit("@Example.com"))).alias("email"),
+    names = _crm_columns(df, k)
+    return names.select(
+        _s(k).alias("id"), "first_name", "last_name", "email",
         F.when(k % 4 == 0, F.concat(F.lit("(555) "), _three_digits(k), F.lit("-0199")))
          .when(k % 4 == 1, F.concat(F.lit("1-555-"), _three_digits(k), F.lit("-0100")))
          .when(k % 4 == 2, F.lit("12345"))
@@ -129,8 +136,11 @@ def event_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crm_contact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(c_custkey, c_nationkey, contact_key) using the CRM row's raw values,
     so facts point at the key the silver build derives."""
-    crm = crm_contacts(spark, sf_dir)
-    return crm.select(F.col("id").cast("bigint").alias("c_custkey"),
+    # The key uses e-mail and names only, which come from the customer row:
+    # no need for the nation and part joins of the full CRM adapter.
+    c = read(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    crm = _crm_columns(c, F.col("c_custkey"))
+    return crm.select(F.col("c_custkey"),
                       contact_key(F.col("email"), F.col("first_name"), F.col("last_name"))
                       .alias("contact_key"))
 
