@@ -33,7 +33,11 @@ def main() -> None:
         t0 = time.time()
         QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.time() - t0, 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(name)
+    except ValueError:
+        sf = name
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))
 
