@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def dot(a: Column, b: Column) -> Column:
-    """Sum of element products; arrays of unequal length raise (ANSI)."""
+    """Sum of element products. Vectors of unequal length raise an error
+    (as a dimension mismatch does in SQL); a NULL vector gives NULL."""
     prods = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v)
+    total = F.aggregate(prods, F.lit(0.0), lambda acc, v: acc + v)
+    return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
+            .when(F.size(a) == F.size(b), total)
+            .otherwise(F.raise_error(F.lit("vector dimensions differ")).cast("double")))
 
 
 def norm(a: Column) -> Column:

@@ -23,5 +23,5 @@ def maybe_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint only behind a checked size bound; above it the join
     stays a shuffle join (and AQE may still convert it at run time).
     Meant for dimension tables, whose count is cheap."""
-    n = df.count()
+    n = df.limit(max_rows + 1).count()   # stops reading past the bound
     return F.broadcast(df) if n <= max_rows else df

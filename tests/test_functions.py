@@ -107,3 +107,30 @@ def test_cosine(spark):
                                "a array<double>, b array<double>")
     got = [r[0] for r in df.select(G.cosine(F.col("a"), F.col("b"))).collect()]
     assert abs(got[0] - 1.0) < 1e-12 and abs(got[1] - 2 ** -0.5) < 1e-12 and got[2] is None
+
+
+def test_soft_delete_and_opt_out_flags_drop_null(spark):
+    from goldvein.sources.contacts import crm_scan, marketing_scan
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    crm = spark.createDataFrame(
+        [(str(i), "a", "b", "e@x.io", None, None, None, t, t, t, flag) for i, flag in enumerate([True, False, None])],
+        "id string, first_name string, last_name string, email string, phone string, company_name string, "
+        "job_title string, created_at timestamp_ntz, updated_at timestamp_ntz, _fivetran_synced timestamp_ntz, "
+        "_fivetran_deleted boolean")
+    assert [r.source_id for r in crm_scan(crm).collect()] == ["1"]
+    subs = spark.createDataFrame(
+        [(str(i), "a", "b", "e@x.io", None, None, None, t, t, t, flag) for i, flag in enumerate([True, False, None])],
+        "contact_id string, fname string, lname string, email_address string, mobile string, organization string, "
+        "title string, created_date timestamp_ntz, last_modified timestamp_ntz, _fivetran_synced timestamp_ntz, "
+        "unsubscribed boolean")
+    assert [r.source_id for r in marketing_scan(subs).collect()] == ["1"]
+
+
+def test_cosine_unequal_length_raises(spark):
+    import pytest
+    df = spark.createDataFrame([([1.0, 0.0], [1.0])], "a array<double>, b array<double>")
+    with pytest.raises(Exception, match="vector dimensions differ"):
+        df.select(G.cosine(F.col("a"), F.col("b"))).collect()
+    nul = spark.createDataFrame([(None, [1.0])], "a array<double>, b array<double>")
+    assert nul.select(G.cosine(F.col("a"), F.col("b"))).collect()[0][0] is None
