@@ -165,3 +165,18 @@ def rededuplicate(target: DataFrame, scored_batch: DataFrame, as_of: Column) ->
              .withColumn("mdm_golden_id", F.coalesce(F.col("_old_gid"), F.col("mdm_golden_id")))
              .drop("_old_gid"))
     return keep.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
+
+
+def review_queue(ranked_duplicates: DataFrame, tiered_pairs: DataFrame) -> DataFrame:
+    """L4: the steward queue: records ranked below their survivor (same
+    e-mail) and MEDIUM similarity pairs, in one shape (reason, contact_key,
+    related_key, email, score)."""
+    dup = ranked_duplicates.where(F.col("dedup_rank") > 1).select(
+        F.lit("DUPLICATE_RANK").alias("reason"), "contact_key",
+        F.col("mdm_golden_id").alias("related_key"), "email",
+        F.col("dedup_rank").cast("double").alias("score"))
+    med = tiered_pairs.where(F.col("match_tier") == "MEDIUM").select(
+        F.lit("MEDIUM_MATCH").alias("reason"), F.col("contact_key_a").alias("contact_key"),
+        F.col("contact_key_b").alias("related_key"), F.col("email_a").alias("email"),
+        F.col("similarity_score").alias("score"))
+    return dup.unionByName(med)

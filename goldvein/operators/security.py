@@ -38,6 +38,14 @@ def brand_filter(df: DataFrame, ctx: AccessContext, grants: DataFrame,
     return df.join(mine, df[brand_col] == mine["_granted"], "left_semi")
 
 
+def pii_policy(df: DataFrame, default: Mask = mask_email) -> dict[str, Mask]:
+    """Masks chosen by the PII flags in the schema metadata: the bound
+    policies for e-mail and phone, ``default`` for other PII columns whose
+    name has no policy of its own."""
+    by_name = {"email": mask_email, "phone": mask_phone}
+    return {f.name: by_name.get(f.name, default) for f in df.schema.fields if f.metadata.get("pii")}
+
+
 def secure(df: DataFrame, ctx: AccessContext, table: str, grants: DataFrame | None = None,
            brand_col: str | None = None) -> DataFrame:
     """Read path of a governed table: row filter (if bound) then masks."""

@@ -427,3 +427,20 @@ def q_daily_run(spark, d):
                  fx.silver_brands(spark, d), fx.event_feedback(spark, d))
     audit = run_daily(spark, scratch_path(spark, "lake"), inp, as_of())
     return audit.select("table_name", "action", "row_count", "gate_branch")
+
+
+@register("dictionary_rules")
+def q_dictionary_rules(spark, d):
+    """K15 (K1-K5 from the schema): rules declared in the column metadata of
+    the golden contacts, one pass plus one count per unique key."""
+    g = Q.attach_dictionary(golden(spark, d), Q.CONTACT_DICTIONARY)
+    return Q.check_from_schema(g, "silver.contacts")
+
+
+@register("review_queue")
+def q_review_queue(spark, d):
+    """L4: steward queue of rank > 1 records and MEDIUM pairs."""
+    ranked = mdm.ranked_records(scored(spark, d), as_of())
+    pairs = mdm.with_match_tier(potential_duplicates(golden(spark, d), threshold=MDM_MATCH_THRESHOLD,
+                                                     sort=False))
+    return mdm.review_queue(ranked, pairs)

@@ -282,3 +282,15 @@ def test_brand_filter_roles(spark):
     assert ids(AccessContext("v@x", "ROLE_ANALYST")) == ["1", "2"]
     assert ids(AccessContext("w@x", "ROLE_ANALYST")) == []
     assert ids(AccessContext("w@x", "ROLE_DATA_ENGINEER")) == ["1", "2", "3"]
+
+
+def test_pii_flags_select_masks(spark):
+    df = spark.createDataFrame([("k", "john.doe@mail.com", "(555) 123-4567", "Acme")],
+                               "contact_key string, email string, phone string, company_name string")
+    df = quality.attach_dictionary(df, quality.CONTACT_DICTIONARY)
+    pol = security.pii_policy(df)
+    assert set(pol) == {"email", "phone"}
+    r = security.apply_masks(df, AccessContext("u@x", "ROLE_ANALYST"), pol).collect()[0]
+    assert (r.email, r.phone, r.company_name) == ("j*******@****.***", "***-***-4567", "Acme")
+    rules, uniques = quality.rules_from_schema(df, "t")
+    assert uniques == [["contact_key"], ["email"]] and any(x.kind == "valid_email" for x in rules)
