@@ -177,7 +177,7 @@ def silver_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read(spark, sf_dir, "region", "r_regionkey", "r_name")
     k = F.col("n_nationkey")
     vertical = F.element_at(F.array(*[F.lit(v) for v in VERTICALS]), (k % len(VERTICALS) + 1).cast("int"))
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
+    return n.join(maybe_broadcast(r), n.n_regionkey == r.r_regionkey, "left").select(
         _s(k).alias("brand_id"),
         F.col("n_name").alias("brand_name"),
         vertical.alias("brand_vertical"),
