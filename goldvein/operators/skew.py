@@ -77,36 +77,46 @@ def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name:
     return cold.unionByName(hot_ranked.select(*cold.columns))
 
 
-def _pairs_plain(df: DataFrame, key: str, item: str) -> DataFrame:
-    a = df.select(F.col(key), F.col(item).alias(item + "_a"))
-    b = df.select(F.col(key).alias("_kb"), F.col(item).alias(item + "_b"))
+def _side(df: DataFrame, item: str, carry: list[str], suffix: str) -> list[Column]:
+    return [F.col(item).alias(item + suffix)] + [F.col(c).alias(c + suffix) for c in carry]
+
+
+def _out(key: str, item: str, carry: list[str]) -> list[str]:
+    return [key, item + "_a", item + "_b"] + [c + s for c in carry for s in ("_a", "_b")]
+
+
+def _pairs_plain(df: DataFrame, key: str, item: str, carry: list[str]) -> DataFrame:
+    a = df.select(F.col(key), *_side(df, item, carry, "_a"))
+    b = df.select(F.col(key).alias("_kb"), *_side(df, item, carry, "_b"))
     return (a.join(b, a[key] == b["_kb"])
-            .where(F.col(item + "_a") < F.col(item + "_b")).select(key, item + "_a", item + "_b"))
+            .where(F.col(item + "_a") < F.col(item + "_b")).select(*_out(key, item, carry)))
 
 
-def _pairs_blocked(df: DataFrame, key: str, item: str, sizes: DataFrame, block_rows: int) -> DataFrame:
+def _pairs_blocked(df: DataFrame, key: str, item: str, sizes: DataFrame, block_rows: int,
+                   carry: list[str]) -> DataFrame:
     nb = F.greatest(F.lit(1), F.ceil(F.col("_g") / F.lit(block_rows))).cast("int")
     tagged = (df.join(F.broadcast(sizes), key).withColumn("_nb", nb)
               .withColumn("_blk", F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
     # Row in block b joins block pairs (min(b,o), max(b,o)) for every o.
     spread = tagged.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     spread = spread.select(
-        key, item, "_blk",
+        key, item, *carry, "_blk",
         F.least("_blk", "_other").alias("_lo"), F.greatest("_blk", "_other").alias("_hi"))
     a = spread.select(F.col(key), F.col("_lo"), F.col("_hi"), F.col("_blk").alias("_ba"),
-                      F.col(item).alias(item + "_a"))
+                      *_side(spread, item, carry, "_a"))
     b = spread.select(F.col(key).alias("_kb"), F.col("_lo").alias("_lob"), F.col("_hi").alias("_hib"),
-                      F.col("_blk").alias("_bb"), F.col(item).alias(item + "_b"))
+                      F.col("_blk").alias("_bb"), *_side(spread, item, carry, "_b"))
     joined = a.join(b, (a[key] == b["_kb"]) & (a["_lo"] == b["_lob"]) & (a["_hi"] == b["_hib"]))
     # Each block pair is formed once: rows of block lo on the left, hi on
     # the right, or both in the same block when lo == hi.
     keep = (((F.col("_ba") == F.col("_lo")) & (F.col("_bb") == F.col("_hi"))) |
             ((F.col("_ba") == F.col("_hi")) & (F.col("_bb") == F.col("_lo"))))
     return (joined.where(keep & (F.col(item + "_a") < F.col(item + "_b")))
-            .select(key, item + "_a", item + "_b"))
+            .select(*_out(key, item, carry)))
 
 
-def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20_000) -> DataFrame:
+def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20_000,
+                        carry: list[str] | None = None) -> DataFrame:
     """All unordered pairs (item_a < item_b) of items sharing ``key``.
 
     Only used where every pair in a group is a required candidate (an
@@ -115,11 +125,14 @@ def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20
     ceil(g / block_rows) blocks and each row is sent to the block pairs it
     takes part in, so one task never holds more than two blocks and the
     quadratic output of a hot group is spread over many tasks. The list of
-    such groups is bounded by rows / block_rows and broadcast.
+    such groups is bounded by rows / block_rows and broadcast. Columns
+    named in ``carry`` come along for both items (``c_a``, ``c_b``), so a
+    pair filter can run right after the join.
     """
+    carry = list(carry or [])
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_g"))
     hot = sizes.where(F.col("_g") > block_rows)
     if hot.count() == 0:
-        return _pairs_plain(df, key, item)
-    cold = _pairs_plain(df.join(F.broadcast(hot.select(key)), key, "left_anti"), key, item)
-    return cold.unionByName(_pairs_blocked(df, key, item, hot, block_rows))
+        return _pairs_plain(df, key, item, carry)
+    cold = _pairs_plain(df.join(F.broadcast(hot.select(key)), key, "left_anti"), key, item, carry)
+    return cold.unionByName(_pairs_blocked(df, key, item, hot, block_rows, carry))

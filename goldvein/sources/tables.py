@@ -12,10 +12,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+# Resolved input relations per session, like tables registered once in a
+# catalog: the file listing and footer schema are read on first use only
+# (the driver tables are read-only). ``fresh=True`` lists the files again.
+_RELATIONS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def read(spark: SparkSession, sf_dir: str, name: str, *columns: str, fresh: bool = False) -> DataFrame:
     """Parquet scan; naming the columns keeps ReadSchema minimal even before
     Catalyst's own pruning."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    hit = _RELATIONS.get((id(spark), path))
+    if fresh or hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _RELATIONS[(id(spark), path)] = hit
+    df = hit[1]
     return df.select(*columns) if columns else df
 
 

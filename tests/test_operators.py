@@ -153,6 +153,22 @@ def test_similar_pairs_equals_brute_force_on_documents(spark):
         assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
 
 
+def test_similar_pairs_repeated_terms_and_bounds(spark):
+    # Short strings over a tiny alphabet: many repeated trigrams (tf > 1),
+    # very different lengths, and scores close to every threshold, so the
+    # candidate bounds and the repeat correction are both exercised.
+    rng = random.Random(7)
+    texts = {i: "".join(rng.choice("ab ") for _ in range(rng.randint(3, 40))) for i in range(160)}
+    texts.update({1000 + i: texts[i] + "a" for i in range(0, 160, 9)})
+    df = spark.createDataFrame(sorted(texts.items()), "id int, text string")
+    for t, inclusive in ((0.6, False), (0.85, True), (0.95, False), (0.999, True)):
+        got = {(r.id_a, r.id_b): r.similarity for r in
+               duplicates.similar_pairs(df, "id", "text", t, block_rows=5, inclusive=inclusive).collect()}
+        exp = brute_pairs(texts, t, inclusive)
+        assert set(got) == set(exp), (t, len(got), len(exp))
+        assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
+
+
 def test_potential_duplicates_copies_and_threshold(spark):
     rows = [("k1", "a@x", "Ann", "Lee", "Acme"), ("k2", "b@x", "Ann", "Lee", "Acme"),
             ("k3", "c@x", "Ann", "Lee", "Acme"), ("k4", "a@x", "Ann", "Lee", "Acme"),
