@@ -68,5 +68,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_to_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to a fresh path in the shared folder and read
+    it back: a clean cut for iterative loops (the next round starts from a
+    plain file scan with file-size statistics, not from the previous
+    round's plan) that also survives executor loss."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -153,6 +153,14 @@ def test_similar_pairs_equals_brute_force_on_documents(spark):
         assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
 
 
+def test_term_code_packs_code_points(spark):
+    grams = ["abc", "abd", "\u00e9a ", "\U0001F600ab", "a\U0001F600b", "ab\U0001F600", "\u4e2d\u6587 "]
+    df = spark.createDataFrame([(g,) for g in grams], "g string")
+    got = [r.c for r in df.select(duplicates.term_code(F.col("g")).alias("c")).collect()]
+    assert got == [(ord(g[0]) << 42) | (ord(g[1]) << 21) | ord(g[2]) for g in grams]
+    assert len(set(got)) == len(grams)
+
+
 def test_similar_pairs_repeated_terms_and_bounds(spark):
     # Short strings over a tiny alphabet: many repeated trigrams (tf > 1),
     # very different lengths, and scores close to every threshold, so the
@@ -198,6 +206,33 @@ def test_connected_groups(spark):
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d", "w": "w", "x": "w", "y": "w", "z": "w"}
 
 
+def test_connected_groups_long_chains_match_union_find(spark):
+    # Shuffled node names on long paths plus random extra edges: the
+    # propagation with pointer jumps must give every node its component's
+    # smallest name, as a union-find does.
+    rng = random.Random(3)
+    names = [f"n{i:04d}" for i in range(300)]
+    rng.shuffle(names)
+    edges = [(names[i], names[i + 1]) for i in range(0, 199)]          # one path of 200 nodes
+    edges += [(names[i], names[i + 1]) for i in range(200, 259)]       # one path of 60 nodes
+    edges += [(rng.choice(names[260:]), rng.choice(names[260:])) for _ in range(30)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for u, v in edges:
+        if u != v:
+            ru, rv = find(u), find(v)
+            parent[max(ru, rv)] = min(ru, rv)
+    nodes = {x for u, v in edges if u != v for x in (u, v)}
+    df = spark.createDataFrame(edges, "contact_key_a string, contact_key_b string")
+    got = {r.node: r.group_id for r in mdm.connected_groups(df).collect()}
+    assert got == {x: find(x) for x in nodes}
+
+
 # ---------------------------------------------------------------- incremental
 
 def _silver_rows(spark, rows):
