@@ -153,14 +153,6 @@ def test_similar_pairs_equals_brute_force_on_documents(spark):
         assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
 
 
-def test_term_code_packs_code_points(spark):
-    grams = ["abc", "abd", "\u00e9a ", "\U0001F600ab", "a\U0001F600b", "ab\U0001F600", "\u4e2d\u6587 "]
-    df = spark.createDataFrame([(g,) for g in grams], "g string")
-    got = [r.c for r in df.select(duplicates.term_code(F.col("g")).alias("c")).collect()]
-    assert got == [(ord(g[0]) << 42) | (ord(g[1]) << 21) | ord(g[2]) for g in grams]
-    assert len(set(got)) == len(grams)
-
-
 def test_similar_pairs_repeated_terms_and_bounds(spark):
     # Short strings over a tiny alphabet: many repeated trigrams (tf > 1),
     # very different lengths, and scores close to every threshold, so the
