@@ -127,9 +127,9 @@ def connected_groups(edges: DataFrame, a: str = "contact_key_a", b: str = "conta
     smallest node, after O(log^2 n) rounds (not O(diameter) as plain label
     propagation on a long chain). Every step is a partial ``min`` per node
     and an equi-join back on the node; a node adjacent to a third of all
-    edges is a skewed join key that AQE's skew join splits. Each step is
+    edges is a skewed join key that AQE's skew join splits. Each round is
     written as a Parquet table in the shared folder (a plain scan starts
-    the next step: bounded plan and lineage, survives executor loss); the
+    the next round: bounded plan and lineage, survives executor loss); the
     loop stops when no node is both a star centre and a leaf (one scalar
     count per round reaches the driver)."""
     u, v = F.col("u"), F.col("v")
@@ -143,7 +143,9 @@ def connected_groups(edges: DataFrame, a: str = "contact_key_a", b: str = "conta
         both = e.unionByName(e.select(v.alias("u"), u.alias("v")))
         low = both.groupBy("u").agg(F.least(u, F.min("v")).alias("m"))
         large = both.where(v > u).join(low, "u").select(v.alias("u"), F.col("m").alias("v"))
-        e = cut_to_table(large.distinct(), "cc_edges")
+        # (the large-star edges feed only the small star of the same round:
+        # one table per round, distinct as a partial aggregate)
+        e = large.distinct()
         # Small star: for x, the smaller neighbours and x itself are all
         # linked to the smallest of them.
         small_m = e.groupBy("u").agg(F.min("v").alias("m"))
