@@ -13,8 +13,8 @@ a shuffle of texts.
 
 from __future__ import annotations
 
-import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +28,8 @@ from goldvein.llm.common import map_batches, worker_state, written
 
 CAPACITY = 4096
 MEMO_ENTRIES = 400_000
+#: Marks that form one piece with each other and none with letters.
+MARKS = "!\"#$%&()*+,-./:;=?@|"
 PIECE_ROW = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
@@ -37,30 +39,40 @@ class WordEncoder:
     no piece crosses it)."""
 
     def __init__(self, spec: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # Ids of stretches, and of the pieces that make up new stretches; the last full memo is looked into before it goes.
         self.memo: dict[str, bytes] = {}
-        # Words of Latin letters whose normal form is their lower case, with simple marks after them: pieces known without the normaliser.
-        self.plain = regex.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)?([!-&(-/:;=?@*|]+)?")
+        self.old: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.names = {b: c for c, b in byte_names().items()}
 
-    def _model(self, piece: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize("".join([self.names[b] for b in piece.encode()]))]
+    def piece(self, p: str) -> bytes:
+        """One piece of lower-case letters or marks, past the normaliser."""
+        if (out := self.pieces.get(p)) is None:
+            named = p if p.isascii() else "".join([self.names[b] for b in p.encode()])
+            out = array("I", [t.id for t in self.tokenizer.model.tokenize(named)]).tobytes()
+            if len(self.pieces) >= MEMO_ENTRIES:
+                self.pieces.clear()
+            self.pieces[p] = out
+        return out
 
     def stretch(self, x: str) -> bytes:
-        if (m := self.plain.fullmatch(x)) and len(x) < 64 and unicodedata.is_normalized("NFC", x):
-            ids = [i for p in (m[1].lower() if m[1] else "", m[2]) if p for i in self._model(p)]
-        else:
-            ids = self.tokenizer.encode(x, add_special_tokens=False).ids
-        out = np.array(ids, "<u4").tobytes()
-        if len(x) < 64:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[x] = out
+        word = x.rstrip(MARKS)
+        if len(x) >= 64:
+            return array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
+        if (out := self.old.get(x)) is None:
+            if not word or word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
+                # Latin letters are in normal form, and so is their lower case.
+                out = (self.piece(word.lower()) if word else b"") + (self.piece(x[len(word):]) if len(word) < len(x) else b"")
+            else:
+                out = array("I", self.tokenizer.encode(x, add_special_tokens=False).ids).tobytes()
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.old, self.memo = self.memo, {}
+        self.memo[x] = out
         return out
 
     def ids(self, text: str) -> bytes:
@@ -239,7 +251,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 seq[at], off[at] = hit[:, 2] + nth // hit[:, 1], hit[:, 3] + nth % hit[:, 1] * n
             yield p.drop(columns="rank").assign(sequence_id=seq, offset=off)
 
-    ranked = pieces.join(per_task.select("length", "task", "before"), ["length", "task"]).select(
+    ranked = pieces.join(per_task.select("length", "task", "before").hint("merge"), ["length", "task"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     return ranked.mapInPandas(
