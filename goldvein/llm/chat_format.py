@@ -45,7 +45,7 @@ def rotate_perspectives(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     text can forge a mark. An empty table gives an empty result; other columns
     are ignored.
     """
-    clean = lambda c: F.regexp_replace(c, r"<\|", r"<\\\\|")
+    clean = lambda c: F.replace(c, F.lit("<|"), F.lit("<\\|"))
     speaker = clean(F.coalesce(F.nullif(F.trim(F.col(f"`{role}`").cast("string")), F.lit("")), F.lit("unknown")))
     rows = turns.select(
         F.col(f"`{conv_id}`").alias("conv_id"), F.col(f"`{turn}`").cast("long").alias("turn"), speaker.alias("speaker"),

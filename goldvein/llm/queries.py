@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldvein.llm.bpe import bpe_round_trip
+from goldvein.llm.chat_format import rotate_perspectives
 from goldvein.llm.common import read_table
 from goldvein.llm.exact_dedup import exact_dedup
+from goldvein.llm.html_extract import extract_main_text
 from goldvein.llm.packing import pack_documents
+from goldvein.llm.quality_classifier import quality_scores
 from goldvein.llm.quality_rules import quality_rules
+from goldvein.llm.toxicity import toxicity_scores
 
 QUERIES, ORACLE = {}, {}
 
@@ -73,6 +77,46 @@ FROM judged LEFT JOIN verdicts USING (source)
 """
 
 
+@query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate_perspectives(read_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op3_perspectives"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, replace(coalesce(nullif(trim(role), ''), 'unknown'), '<|', '<\|') AS speaker,
+           replace(coalesce(text, ''), '<|', '<\|') AS t
+    FROM conversations),
+views AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
+rendered AS (
+    SELECT t.*, perspective,
+           CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS chat_role,
+           CASE WHEN speaker = 'system' THEN '<|system|>' WHEN speaker = perspective THEN '<|assistant|>'
+                ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
+    FROM turns t JOIN views v ON t.conv_id IS NOT DISTINCT FROM v.conv_id),
+placed AS (
+    SELECT *, row_number() OVER w - 1 AS position, head || t || '<|end|>' || chr(10) AS segment,
+           coalesce(sum(length(head) + length(t) + 8) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM rendered WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, t))
+SELECT conv_id, perspective, position::BIGINT AS position, turn, speaker, chat_role, segment, start,
+       length(segment)::BIGINT AS length,
+       CASE WHEN chat_role = 'assistant' THEN start + length(head) END::BIGINT AS loss_start,
+       CASE WHEN chat_role = 'assistant' THEN start + length(segment) END::BIGINT AS loss_end
+FROM placed
+"""
+
+
+@query
+def op5_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
@@ -85,6 +129,11 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
