@@ -49,3 +49,13 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator], Iterator], schema: str |
     texts still fit a worker."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     return df.mapInArrow(fn, schema) if arrow else df.mapInPandas(fn, schema)
+
+
+def release(df: DataFrame) -> None:
+    """Let the cluster delete the shuffle files of plans that are done with:
+    Spark does so when the driver collects the objects that stand for them,
+    which between two large steps may otherwise take its time."""
+    import gc
+
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()

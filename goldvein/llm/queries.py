@@ -12,6 +12,7 @@ from goldvein.llm.chat_format import rotate_perspectives
 from goldvein.llm.common import read_table
 from goldvein.llm.exact_dedup import exact_dedup
 from goldvein.llm.html_extract import extract_main_text
+from goldvein.llm.jaccard_join import jaccard_components
 from goldvein.llm.packing import pack_documents
 from goldvein.llm.quality_classifier import quality_scores
 from goldvein.llm.quality_rules import quality_rules
@@ -129,6 +130,11 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op8_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
