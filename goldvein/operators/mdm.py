@@ -130,8 +130,8 @@ def connected_groups(edges: DataFrame, a: str = "contact_key_a", b: str = "conta
     edges is a skewed join key that AQE's skew join splits. Each round is
     written as a Parquet table in the shared folder (a plain scan starts
     the next round: bounded plan and lineage, survives executor loss); the
-    loop stops when no node is both a star centre and a leaf (one scalar
-    count per round reaches the driver)."""
+    loop stops when every leaf has one centre and no centre is a leaf (one
+    scalar count per round reaches the driver)."""
     u, v = F.col("u"), F.col("v")
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where(F.col("x") != F.col("y"))
     # Normalised undirected edges: u > v.
@@ -152,9 +152,10 @@ def connected_groups(edges: DataFrame, a: str = "contact_key_a", b: str = "conta
         small = (e.join(small_m, "u").select(v.alias("u"), F.col("m").alias("v"))
                  .where(u != v).unionByName(small_m.select("u", F.col("m").alias("v"))))
         e = cut_to_table(small.distinct(), "cc_edges")
-        # Stars: no centre (a v) is also a leaf (a u).
+        # Stars: every leaf (a u) has one centre, and no centre (a v) is a leaf.
+        shared = e.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
         mixed = e.select("u").join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
-        if mixed.limit(1).count() == 0:
+        if shared.unionByName(mixed).limit(1).count() == 0:
             break
     return (e.select(u.alias("node"), v.alias("group_id"))
             .unionByName(e.select(v.alias("node"), v.alias("group_id")).distinct()))
