@@ -87,8 +87,8 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lar
     the row with the largest ``doc_id`` stays (the smallest with
     ``largest=False``). A repeated ``doc_id`` with one text counts every
     row, and each of its rows says kept; a null ``doc_id`` loses to any
-    other, and a group of null ids only keeps none (keep_id null). An empty
-    table gives an empty result; other columns are ignored.
+    other, and in a group of null ids only, all are kept (keep_id null). An
+    empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -98,5 +98,5 @@ def exact_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lar
     out = rows.join(merged, IDENTITY, "left")
     return out.select(
         "doc_id", "keep_id", "group_size",
-        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))

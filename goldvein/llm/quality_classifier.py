@@ -181,8 +181,8 @@ def fit_quality(train: DataFrame, ridge: float = 1e-3):
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality",
-                   folds: int = 5, held_out: int = 0, threshold: float = 0.3) -> DataFrame:
-    """One row per input row: doc_id, held_out, score (0 to 1), predicted (0 or 1).
+                   folds: int = 5, held_out: int = 0, threshold: float = 0.3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: doc_id, the columns in ``carry``, held_out, score (0 to 1), predicted (0 or 1).
 
     Labels are learned from documents whose crc32(doc_id) mod ``folds`` is not
     ``held_out``. A null or empty text has zero statistics and is scored as
@@ -190,18 +190,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_i
     each; without any label to learn from all scores are 0.5. Other columns
     are ignored; an empty table gives an empty result.
     """
-    stats = written(document_statistics(docs, text, doc_id), "document-statistics")
+    stats = written(document_statistics(docs, text, doc_id, carry), "document-statistics")
     part = fold("doc_id", folds)
     train = written(stats.where(part != held_out).join(labels_of(labels, label), "doc_id")
                     .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(5))), "quality-training")
-    return apply_scores(stats, fit_quality(train), part == held_out, threshold)
+    return apply_scores(stats, fit_quality(train), part == held_out, threshold, carry)
 
 
-def apply_scores(stats: DataFrame, model, held_out: Column, threshold: float) -> DataFrame:
+def apply_scores(stats: DataFrame, model, held_out: Column, threshold: float, carry: tuple[str, ...] = ()) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": np.clip(model(matrix(pdf)), 0.0, 1.0)})
+                yield pdf.drop(columns="x").assign(score=np.clip(model(matrix(pdf)), 0.0, 1.0))
 
-    scored = stats.withColumn("held_out", F.coalesce(held_out, F.lit(False))).mapInPandas(run, "doc_id long, held_out boolean, score double")
+    rows = stats.select("doc_id", *carry, F.coalesce(held_out, F.lit(False)).alias("held_out"), "x")
+    scored = rows.mapInPandas(run, rows.drop("x").schema.add("score", T.DoubleType()))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

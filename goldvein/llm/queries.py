@@ -16,6 +16,7 @@ from goldvein.llm.jaccard_join import jaccard_components
 from goldvein.llm.packing import pack_documents
 from goldvein.llm.quality_classifier import quality_scores
 from goldvein.llm.quality_rules import quality_rules
+from goldvein.llm.suffix_dedup import repeated_passages
 from goldvein.llm.toxicity import toxicity_scores
 
 QUERIES, ORACLE = {}, {}
@@ -113,6 +114,37 @@ FROM placed
 """
 
 
+@query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(read_table(spark, sf_dir, "documents")).withColumn("s", F.explode("spans"))
+    later = F.aggregate("later", F.lit(0), lambda a, r: a + F.greatest(
+        F.lit(0), F.least(r["end"], F.col("s.end")) - F.greatest(r["start"], F.col("s.start"))))
+    return found.select("doc_id", F.col("s.start").cast("long").alias("start_word"), F.col("s.end").cast("long").alias("end_word"),
+                        later.cast("long").alias("n_later_words"))
+
+
+ORACLE["op4_repeated_passages"] = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+runs AS (
+    SELECT doc_id, i - 1 AS p, md5(array_to_string(w[i:i + 49], ' ')) AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+marked AS (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1 AS later,
+           count(*) OVER (PARTITION BY k) AS c FROM runs),
+hits AS (
+    SELECT doc_id, p, later, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 50, true) AS opens
+    FROM marked WHERE c > 1),
+grouped AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM hits),
+spans AS (SELECT doc_id, span, min(p) AS start_word, max(p) + 50 AS end_word FROM grouped GROUP BY ALL),
+cover AS (
+    SELECT doc_id, span, sum(least(coalesce(following - p, 50), 50)) AS n
+    FROM (SELECT doc_id, span, p, lead(p) OVER (PARTITION BY doc_id, span ORDER BY p) AS following FROM grouped WHERE later)
+    GROUP BY ALL)
+SELECT doc_id, start_word::BIGINT AS start_word, end_word::BIGINT AS end_word, coalesce(n, 0)::BIGINT AS n_later_words
+FROM spans LEFT JOIN cover USING (doc_id, span)
+"""
+
+
 @query
 def op5_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
