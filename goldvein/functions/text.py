@@ -66,7 +66,3 @@ def identity_string(first: Column, last: Column, company: Column) -> Column:
     """``first || ' ' || last || ' ' || COALESCE(company, '')``; NULL name
     gives NULL (``concat`` propagates NULL like ``||``)."""
     return F.concat(first, F.lit(" "), last, F.lit(" "), F.coalesce(company, F.lit("")))
-
-
-def trimmed_length(c: Column) -> Column:
-    return F.length(F.trim(c))

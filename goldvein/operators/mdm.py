@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from goldvein.functions.keys import contact_key
 from goldvein.functions.scoring import dq_score
 from goldvein.functions.text import clean_email, format_phone, initcap_words, mvr_email
-from goldvein.operators.skew import DEFAULT_HOT_ROWS, row_number_within
+from goldvein.operators.skew import row_number_within
 
+# The columns of the silver contact table.
 SILVER_COLUMNS = ("contact_key", "source_system", "source_id", "first_name", "last_name",
                   "email", "phone", "company_name", "job_title", "mdm_golden_id", "dq_score",
                   "dedup_rank", "created_at", "updated_at", "ingested_at", "silver_processed_at")
@@ -78,20 +79,19 @@ def golden_records(scored: DataFrame, as_of: Column, prefer: str = "best") -> Da
         as_of.alias("silver_processed_at")).select(*SILVER_COLUMNS)
 
 
-def ranked_records(scored: DataFrame, as_of: Column,
-                   hot_threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def ranked_records(scored: DataFrame, as_of: Column) -> DataFrame:
     """Every record with its exact ``dedup_rank`` and golden id (for the
     steward queue). Ranks come from the skew-safe row numbering; the golden
     id from a grouped ``min_by`` joined back on e-mail."""
-    ranked = row_number_within(scored, ["email"], _best_order(), "dedup_rank", hot_threshold)
+    ranked = row_number_within(scored, ["email"], _best_order(), "dedup_rank")
     gid = scored.groupBy("email").agg(F.min_by(F.col("contact_key"), _earliest_key()).alias("mdm_golden_id"))
     return (ranked.join(gid, "email", "left")
             .withColumn("silver_processed_at", as_of).select(*SILVER_COLUMNS))
 
 
-def steward_queue(scored: DataFrame, as_of: Column, hot_threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def steward_queue(scored: DataFrame, as_of: Column) -> DataFrame:
     """Duplicates (rank > 1) for steward review."""
-    return ranked_records(scored, as_of, hot_threshold).where(F.col("dedup_rank") > 1)
+    return ranked_records(scored, as_of).where(F.col("dedup_rank") > 1)
 
 
 def silver_contacts(bronze: DataFrame, as_of: Column, prefer: str = "best") -> DataFrame:
@@ -168,6 +168,20 @@ def auto_merge_groups(tiered_pairs: DataFrame) -> DataFrame:
     return connected_groups(high).select(F.col("node").alias("contact_key"), "group_id")
 
 
+def merged_contacts(contacts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Contacts with ``merged_id``: the group's id, or their own key outside any group."""
+    return (contacts.join(groups, "contact_key", "left")
+            .withColumn("merged_id", F.coalesce("group_id", "contact_key")).drop("group_id"))
+
+
+def merge_audit(groups: DataFrame, user: str, role: str, event_time: Column) -> DataFrame:
+    """One audit row of an automatic merge: contacts merged away, groups left."""
+    return groups.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("group_id").alias("groups")).select(
+        F.lit("silver.contacts").alias("table_name"), F.lit("AUTO_MERGE").alias("action"),
+        (F.col("n") - F.col("groups")).alias("row_count"), "groups",
+        F.lit(user).alias("user_name"), F.lit(role).alias("role_name"), event_time.alias("event_time"))
+
+
 def rededuplicate(target: DataFrame, scored_batch: DataFrame, as_of: Column) -> DataFrame:
     """Batch resolution that also sees the target (fixes the batch-only
     dedup of the default merge): every e-mail group touched by the batch is

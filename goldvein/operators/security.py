@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldvein.functions.masks import ALL_ROWS_ROLES, AccessContext, mask_email, mask_phone
-from goldvein.sources.tables import maybe_broadcast
+from goldvein.functions.masks import ALL_ROWS_ROLES, AccessContext, mask_email, mask_name, mask_phone
 
 Mask = Callable[[Column, str], Column]
 
@@ -26,22 +25,18 @@ def apply_masks(df: DataFrame, ctx: AccessContext, policy: dict[str, Mask]) -> D
 
 
 def brand_filter(df: DataFrame, ctx: AccessContext, grants: DataFrame,
-                 brand_col: str = "brand_id", max_grants: int = 1_000_000) -> DataFrame:
-    """Rows whose brand is granted to the caller; privileged roles see all.
-    The caller's grants (one user, at most the number of brands) are
-    broadcast behind a size check into a left-semi join."""
+                 brand_col: str = "brand_id") -> DataFrame:
+    """Rows whose brand is granted to the caller (a left-semi join); privileged roles see all."""
     if ctx.role in ALL_ROWS_ROLES:
         return df
     mine = (grants.where(F.col("user_email") == F.lit(ctx.user))
             .select(F.col("brand_id").alias("_granted")).distinct())
-    mine = maybe_broadcast(mine, max_grants)
     return df.join(mine, df[brand_col] == mine["_granted"], "left_semi")
 
 
-def pii_policy(df: DataFrame, default: Mask = mask_email) -> dict[str, Mask]:
+def pii_policy(df: DataFrame, default: Mask = mask_name) -> dict[str, Mask]:
     """Masks chosen by the PII flags in the schema metadata: the bound
-    policies for e-mail and phone, ``default`` for other PII columns whose
-    name has no policy of its own."""
+    policies for e-mail and phone, ``default`` (first letter only) for others."""
     by_name = {"email": mask_email, "phone": mask_phone}
     return {f.name: by_name.get(f.name, default) for f in df.schema.fields if f.metadata.get("pii")}
 

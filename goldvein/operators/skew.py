@@ -13,68 +13,31 @@ from pyspark.sql import functions as F
 
 from goldvein.session import cut_lineage
 
-DEFAULT_HOT_ROWS = 2_000_000
-
-
-def hot_keys(df: DataFrame, keys: list[str], threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows. There are at most
-    ``rows / threshold`` of them, which bounds the size of this table."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > threshold).select(*keys))
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def row_number_within(df: DataFrame, keys: list[str], order: list[Column], name: str,
-                      hot_threshold: int = DEFAULT_HOT_ROWS,
                       range_partitions: int | None = None) -> DataFrame:
     """Exact ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``.
 
     ``order`` together with ``keys`` must be a total order (add
-    tie-breakers). Ordinary groups use the plain window (one shuffle on the
-    keys). Groups above ``hot_threshold`` rows are range-partitioned on
-    (keys, order) so one hot group spreads over many tasks; each task numbers
-    its sorted rows locally and a per-(task, key) count table, bounded by
-    hot keys x tasks, supplies the offsets.
+    tie-breakers). Rows are range-partitioned on (keys, order), so a group of
+    any size spreads over as many tasks as it needs; each task numbers its
+    sorted rows, and the counts of a group's earlier tasks are added. Nothing
+    depends on how large a group is.
     """
-    spark = df.sparkSession
-    hot = hot_keys(df, keys, hot_threshold)
-    n_hot = hot.count()   # bounded by rows / hot_threshold; drives the plan choice
-    w = Window.partitionBy(*keys).orderBy(*order)
-    if n_hot == 0:
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    hot_b = F.broadcast(hot)
-    cold = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_anti")
-    cold = cold.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-    hot_rows = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_semi")
-    parts = range_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = range_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    ranged = (hot_rows.repartitionByRange(parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
-    # Materialise once: positions must be identical for both uses below.
-    ranged = cut_lineage(ranged)
-    stats = ranged.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"),
-                                             F.count(F.lit(1)).alias("_n"))
+    # Materialised once: positions must be identical for both uses below.
+    ranged = cut_lineage(df.repartitionByRange(parts, *sort_cols).sortWithinPartitions(*sort_cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()))
+    stats = ranged.groupBy("_pid", *keys).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    offsets = F.broadcast(offsets.select("_pid", *[F.col(k).alias("_k_" + k) for k in keys],
-                                         "_first", "_off"))
-    cond = ranged["_pid"] == offsets["_pid"]
+    offsets = stats.select(F.col("_pid").alias("_p"), *[F.col(k).alias("_k_" + k) for k in keys], "_first",
+                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    cond = ranged["_pid"] == offsets["_p"]
     for k in keys:
         cond = cond & ranged[k].eqNullSafe(offsets["_k_" + k])
-    hot_ranked = (ranged.join(offsets, cond, "inner")
-                  .withColumn(name, (F.col("_pos") - F.col("_first") + 1 + F.col("_off")).cast("bigint"))
-                  .drop("_pid", "_pos", "_first", "_off", *["_k_" + k for k in keys]))
-    return cold.unionByName(hot_ranked.select(*cold.columns))
+    number = (F.col("_pos") - F.col("_first") + 1 + F.col("_off")).cast("bigint")
+    return ranged.join(offsets, cond).select(*[ranged[c] for c in df.columns], number.alias(name))
 
 
 def _side(df: DataFrame, item: str, carry: list[str], suffix: str) -> list[Column]:
@@ -85,17 +48,10 @@ def _out(key: str, item: str, carry: list[str]) -> list[str]:
     return [key, item + "_a", item + "_b"] + [c + s for c in carry for s in ("_a", "_b")]
 
 
-def _pairs_plain(df: DataFrame, key: str, item: str, carry: list[str]) -> DataFrame:
-    a = df.select(F.col(key), *_side(df, item, carry, "_a"))
-    b = df.select(F.col(key).alias("_kb"), *_side(df, item, carry, "_b"))
-    return (a.join(b, a[key] == b["_kb"])
-            .where(F.col(item + "_a") < F.col(item + "_b")).select(*_out(key, item, carry)))
-
-
 def _pairs_blocked(df: DataFrame, key: str, item: str, sizes: DataFrame, block_rows: int,
                    carry: list[str]) -> DataFrame:
     nb = F.greatest(F.lit(1), F.ceil(F.col("_g") / F.lit(block_rows))).cast("int")
-    tagged = (df.join(F.broadcast(sizes), key).withColumn("_nb", nb)
+    tagged = (df.join(sizes, key).withColumn("_nb", nb)
               .withColumn("_blk", F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
     # Row in block b joins block pairs (min(b,o), max(b,o)) for every o.
     spread = tagged.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
@@ -115,24 +71,17 @@ def _pairs_blocked(df: DataFrame, key: str, item: str, sizes: DataFrame, block_r
             .select(*_out(key, item, carry)))
 
 
-def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 20_000,
+def pairs_within_groups(df: DataFrame, key: str, item: str, block_rows: int = 2_000,
                         carry: list[str] | None = None) -> DataFrame:
     """All unordered pairs (item_a < item_b) of items sharing ``key``.
 
     Only used where every pair in a group is a required candidate (an
-    exact signature match). Groups of at most ``block_rows`` items use a
-    plain self-join. A larger group of g items is cut into
+    exact signature match). A group of g items is cut into
     ceil(g / block_rows) blocks and each row is sent to the block pairs it
-    takes part in, so one task never holds more than two blocks and the
-    quadratic output of a hot group is spread over many tasks. The list of
-    such groups is bounded by rows / block_rows and broadcast. Columns
+    takes part in, so one task never holds more than two blocks of a group and
+    the quadratic output of a hot group is spread over many tasks. Columns
     named in ``carry`` come along for both items (``c_a``, ``c_b``), so a
     pair filter can run right after the join.
     """
-    carry = list(carry or [])
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_g"))
-    hot = sizes.where(F.col("_g") > block_rows)
-    if hot.count() == 0:
-        return _pairs_plain(df, key, item, carry)
-    cold = _pairs_plain(df.join(F.broadcast(hot.select(key)), key, "left_anti"), key, item, carry)
-    return cold.unionByName(_pairs_blocked(df, key, item, hot, block_rows, carry))
+    return _pairs_blocked(df, key, item, sizes, block_rows, list(carry or []))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from goldvein.operators import gold, mdm
 from goldvein.operators.features import engagement_features, with_rfm_segment
+from goldvein.session import cut_to_table, scratch_path
 from goldvein.sources import fixtures as fx
 from goldvein.sources.contacts import bronze_contacts
 
@@ -56,8 +57,8 @@ def golden(spark: SparkSession, d: str) -> DataFrame:
     return mdm.golden_records(scored(spark, d), as_of())
 
 
-def fact(spark: SparkSession, d: str) -> DataFrame:
-    return gold.fact_events(fx.silver_events(spark, d, "crm"), golden(spark, d),
+def fact(spark: SparkSession, d: str, contacts: DataFrame | None = None) -> DataFrame:
+    return gold.fact_events(fx.silver_events(spark, d, "crm"), golden(spark, d) if contacts is None else contacts,
                             fx.silver_brands(spark, d), as_of())
 
 
@@ -210,7 +211,8 @@ def q_freshness(spark, d):
     evs = C.events_scan(fx.event_registrations(spark, d), as_of())
     parts = [Q.freshness(crm, "bronze_crm", "ingested_at", as_of()),
              Q.freshness(mkt, "bronze_marketing", "ingested_at", as_of()),
-             Q.freshness(evs, "bronze_events", "created_at", as_of())]
+             Q.freshness(evs, "bronze_events", "created_at", as_of()),
+             Q.freshness(evs, "bronze_events", "ingested_at", as_of())]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -232,19 +234,21 @@ def q_dq_gate(spark, d):
 @register("dq_rules")
 def q_dq_rules(spark, d):
     """Dictionary rules, one pass per table."""
-    return (Q.evaluate_rules(golden(spark, d), Q.CONTACT_RULES)
-            .unionByName(Q.evaluate_rules(fact(spark, d), Q.FACT_RULES)))
+    g = cut_to_table(golden(spark, d), "golden")   # read three times
+    return (Q.evaluate_rules(g, Q.CONTACT_RULES)
+            .unionByName(Q.evaluate_rules(fact(spark, d, g), Q.FACT_RULES)))
 
 
 @register("unique_check")
 def q_unique_check(spark, d):
     """K2, K8: keys held by more than one row."""
-    g = golden(spark, d)
+    b = cut_to_table(bronze(spark, d), "bronze")   # each table is read by several checks: written once
+    s = cut_to_table(mdm.quality_scored(mdm.standardize(b)), "scored")
+    g = cut_to_table(mdm.golden_records(s, as_of()), "golden")
     return (Q.unique_violations(g, "silver.contacts", ["contact_key"])
             .unionByName(Q.unique_violations(g, "silver.contacts", ["email"]))
-            .unionByName(Q.unique_violations(scored(spark, d), "silver.standardized", ["email"]))
-            .unionByName(Q.unique_violations(bronze(spark, d), "bronze.contacts",
-                                             ["source_system", "source_id"])))
+            .unionByName(Q.unique_violations(s, "silver.standardized", ["email"]))
+            .unionByName(Q.unique_violations(b, "bronze.contacts", ["source_system", "source_id"])))
 
 
 @register("accepted_values")
@@ -288,7 +292,7 @@ def q_anomaly_flags(spark, d):
 
 # ---------------------------------------------------------------- governance
 
-from goldvein.operators.security import brand_filter  # noqa: E402
+from goldvein.operators.security import apply_masks, brand_filter, pii_policy, secure  # noqa: E402
 from goldvein.sources.sinks import refresh_audit  # noqa: E402
 
 
@@ -316,11 +320,11 @@ BATCH1_CUTOFF = "2024-01-20 00:00:00"
 
 
 def _batches(spark, d):
-    b = bronze(spark, d)
+    b = cut_to_table(bronze(spark, d), "bronze")
     target = mdm.golden_records(
         mdm.quality_scored(mdm.standardize(b.where(F.col("ingested_at") < fx.ts(BATCH1_CUTOFF)))),
         as_of())
-    return b, target
+    return b, cut_to_table(target, "silver")
 
 
 @register("incremental_scan")
@@ -344,7 +348,6 @@ def q_merge_upsert(spark, d):
 def q_table_round_trip(spark, d):
     """Bronze written partitioned by ingestion date to
     the shared folder and read back."""
-    from goldvein.session import scratch_path
     from goldvein.sources.sinks import write_bronze
     path = scratch_path(spark, "bronze")
     write_bronze(bronze(spark, d), path)
@@ -402,7 +405,7 @@ def q_feedback_scored(spark, d):
 def q_dq_narrative(spark, d):
     """Narrative from the contact score average, the worst null rate
     and the event anomaly count."""
-    g = golden(spark, d)
+    g = cut_to_table(golden(spark, d), "golden")
     summ = Q.dq_summary(g, "silver_contacts", as_of()).select("model_name", "avg_dq_score")
     worst = Q.null_rates(g, "silver_contacts", NULL_RATE_COLUMNS).agg(F.max("null_pct").alias("null_pct"))
     ev = read(spark, d, "events", "event_id", "event_type", "value")
@@ -420,13 +423,85 @@ def q_dq_narrative(spark, d):
 def q_daily_run(spark, d):
     """The whole daily job into a fresh folder under the shared
     directory; returns the audit rows (table, action, row count)."""
-    from goldvein.plans.jobs import Inputs, run_daily
-    from goldvein.session import scratch_path
+    tables, audit = _daily(spark, d)
+    return audit.select("table_name", "action", "row_count", "gate_branch")
+
+
+def _daily(spark, d):
+    from goldvein.plans.jobs import Inputs, Tables, run_daily
     inp = Inputs(fx.crm_contacts(spark, d), fx.marketing_subscribers(spark, d),
                  fx.event_registrations(spark, d), fx.silver_events(spark, d, "crm"),
                  fx.silver_brands(spark, d), fx.event_feedback(spark, d))
-    audit = run_daily(spark, scratch_path(spark, "lake"), inp, as_of())
-    return audit.select("table_name", "action", "row_count", "gate_branch")
+    tables = Tables(spark, scratch_path(spark, "lake"))
+    return tables, run_daily(tables, inp, as_of())
+
+
+@register("daily_rules")
+def q_daily_rules(spark, d):
+    """The rule results that the daily run leaves."""
+    return _daily(spark, d)[0].read("governance/rule_results")
+
+
+@register("bronze_refresh")
+def q_bronze_refresh(spark, d):
+    """A5, O1: two full refreshes; between them every third CRM contact is
+    soft-deleted, and the second table holds no trace of those."""
+    from goldvein.plans.jobs import Inputs, Tables, run_bronze
+    crm = fx.crm_contacts(spark, d)
+    rest = (fx.marketing_subscribers(spark, d), fx.event_registrations(spark, d), None, None, None)
+    tables = Tables(spark, scratch_path(spark, "refresh"))
+    run_bronze(tables, Inputs(crm, *rest), as_of())
+    gone = F.col("_fivetran_deleted") | (F.col("id").cast("long") % 3 == 0)
+    later = as_of() + F.make_dt_interval(days=F.lit(1))
+    return run_bronze(tables, Inputs(crm.withColumn("_fivetran_deleted", gone), *rest), later)
+
+
+@register("quarantined_facts")
+def q_quarantined_facts(spark, d):
+    """The facts that break a rule of the fact table, with the rules they break."""
+    return Q.broken_rules(fact(spark, d), Q.FACT_RULES).select("fact_key", "event_id", "broken")
+
+
+@register("revenue_anomalies")
+def q_revenue_anomalies(spark, d):
+    """Z-score flags of fact revenue per brand."""
+    a = anomaly_flags(fact(spark, d).withColumn("revenue_amount", F.col("revenue_amount").cast("double")),
+                      "fact_key", "brand_id", "revenue_amount", as_of())
+    return a.select("fact_key", "brand_id", "revenue_amount", F.round("avg_value", 4).alias("avg_revenue"),
+                    F.round("std_value", 4).alias("std_revenue"), F.round("z_score", 6).alias("z_score"), "is_anomaly")
+
+
+@register("secure_contacts")
+def q_secure_contacts(spark, d):
+    """The contact table as an analyst and as a steward read it, masks chosen by the PII flags."""
+    g = Q.attach_dictionary(golden(spark, d), Q.CONTACT_DICTIONARY)
+    reads = [apply_masks(g, AccessContext(user, role), pii_policy(g))
+             .select(F.lit(role).alias("role"), "contact_key", "first_name", "last_name", "email", "phone", "dq_score")
+             for user, role in (("a@x", ANALYST), ("s@x", ROLE_STEWARD))]
+    return reads[0].unionByName(reads[1])
+
+
+@register("secure_facts")
+def q_secure_facts(spark, d):
+    """The fact as analyst b@x reads it: rows of the granted brands, e-mail masked."""
+    f = secure(fact(spark, d), AccessContext("b@x", ANALYST), "silver.contacts", fx.brand_grants(spark, d), "brand_id")
+    return f.select("fact_key", "event_id", "brand_id", "email", "rfm_segment")
+
+
+@register("merge_audit")
+def q_merge_audit(spark, d):
+    """Audit row of merging the connected groups of HIGH pairs."""
+    p = potential_duplicates(golden(spark, d), threshold=mdm.TIER_HIGH, sort=False, inclusive=True)
+    groups = mdm.auto_merge_groups(mdm.with_match_tier(p))
+    return mdm.merge_audit(groups, "etl@x", "ROLE_DATA_ENGINEER", as_of())
+
+
+@register("merged_contacts")
+def q_merged_contacts(spark, d):
+    """Every golden contact with the id it is merged under."""
+    g = cut_to_table(golden(spark, d), "golden")
+    p = potential_duplicates(g, threshold=mdm.TIER_HIGH, sort=False, inclusive=True)
+    return mdm.merged_contacts(g, mdm.auto_merge_groups(mdm.with_match_tier(p))).select("contact_key", "email", "merged_id")
 
 
 @register("dictionary_rules")

@@ -36,9 +36,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set (local tests) a private temporary folder is created
-    and registered, so that ``DataFrame.checkpoint()`` works everywhere.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where
+    neither is set, a local session (one machine) gets a private folder; on
+    a cluster that is an error, since executors do not share local folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -48,6 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="goldvein-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
