@@ -85,6 +85,7 @@ class Codec:
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b, ab) in enumerate(merges):
             self.ranks.setdefault((a, b), (rank, ab))
+        self.packed = {p: r << 24 | ab for p, (r, ab) in self.ranks.items()}
         self.lookahead = sufficient_lookahead(merges, {i: len(b) for i, b in raw.items()})
         self.specials = {t["content"]: t["id"] for t in j.get("added_tokens") or []}
         self.bytes_of = raw | {i: t.encode() for t, i in self.specials.items()}
@@ -94,7 +95,26 @@ class Codec:
         self.chunks = regex.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
         self.runs = [regex.compile(r"\p{L}+"), regex.compile(r"\p{N}+"), regex.compile(r"[^\s\p{L}\p{N}]+")]
         self.space = regex.compile(r"\s+")
+        # Ids of stretches, and of the pieces that make up new stretches; the last full memo is looked into before it goes.
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, list[int]] = {}
+
+    def merge_short(self, data: bytes) -> list[int]:
+        """As ``merge``, for few symbols: the list of possible merges is
+        searched instead of kept in order."""
+        sym = [self.start[b] for b in data]
+        get, never = self.packed.get, 1 << 62
+        todo = [get(p, never) for p in zip(sym, sym[1:], strict=False)]
+        while todo and (best := min(todo)) != never:
+            i = todo.index(best)
+            made = sym[i] = best & 0xFFFFFF
+            del sym[i + 1], todo[i]
+            if i < len(todo):
+                todo[i] = get((made, sym[i + 1]), never)
+            if i:
+                todo[i - 1] = get((sym[i - 1], made), never)
+        return sym
 
     def merge(self, data: bytes) -> list[int]:
         """Lowest rank first, leftmost of equals first, with a heap over the
@@ -124,19 +144,27 @@ class Codec:
     def chunk(self, text: str) -> tuple[int, ...]:
         """Ids of a stretch that no piece crosses; short ones are remembered."""
         if (ids := self.memo.get(text)) is None:
-            ids = tuple(i for p in self.pieces.findall(text) for i in self.piece(p))
+            if (ids := self.old.get(text)) is None:
+                ids = tuple(i for p in self.pieces.findall(text) for i in self.piece(p))
             if len(text) < 64:
                 if len(self.memo) >= MEMO_ENTRIES:
-                    self.memo.clear()
+                    self.old, self.memo = self.memo, {}
                 self.memo[text] = ids
         return ids
 
     def piece(self, text: str) -> list[int]:
+        if (ids := self.known.get(text)) is not None:
+            return ids
         data = text.encode()
-        if len(data) <= 4 * self.lookahead:
+        if len(data) > 4 * self.lookahead:
+            stream = PieceStream(self)
+            return stream.feed(data) + stream.finish()
+        if len(data) > 64:
             return self.merge(data)
-        stream = PieceStream(self)
-        return stream.feed(data) + stream.finish()
+        if len(self.known) >= MEMO_ENTRIES:
+            self.known.clear()
+        ids = self.known[text] = self.merge_short(data)
+        return ids
 
 
 class PieceStream:
