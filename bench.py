@@ -11,13 +11,15 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["bronze_contacts", "golden_contacts", "steward_queue", "rfm_features", "fact_events",
             "anomaly_flags", "dq_rules", "null_rate", "merge_upsert", "duplicates_exact",
-            "match_tiers", "merged_groups", "personas", "feedback_scored", "row_filter"]
+            "match_tiers", "merged_groups", "personas", "feedback_scored", "row_filter",
+            "review_queue", "daily_run", "unique_check", "accepted_values", "dictionary_rules"]
 
 
 def main() -> None:
@@ -26,7 +28,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     from goldvein.session import build_session
     from goldvein.plans.catalog import QUERIES
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="goldvein-bench-")})
     QUERIES["fact_events"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
     for n in names:

@@ -4,6 +4,8 @@ import datetime as dt
 import itertools
 import math
 import random
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import Window
@@ -96,7 +98,7 @@ def test_row_number_hot_path_matches_window(spark):
     order = [F.col("s").desc(), F.col("i").asc()]
     plain = {r.i: r.rn for r in df.withColumn("rn", F.row_number().over(
         Window.partitionBy("k").orderBy(*order))).collect()}
-    split = {r.i: r.rn for r in skew.row_number_within(df, ["k"], order, "rn", hot_threshold=50,
+    split = {r.i: r.rn for r in skew.row_number_within(df, ["k"], order, "rn",
                                                            range_partitions=6).collect()}
     assert split == plain
 
@@ -113,7 +115,7 @@ def test_pairs_within_groups_blocks(spark):
 def test_steward_queue_ranks(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [("a@x.io", f"k{i}", 100 - i, t, "CRM", str(i)) for i in range(5)]
-    q = mdm.steward_queue(_full(_scored(spark, rows)), ts("2024-02-01 00:00:00"), hot_threshold=2)
+    q = mdm.steward_queue(_full(_scored(spark, rows)), ts("2024-02-01 00:00:00"))
     assert sorted((r.contact_key, r.dedup_rank) for r in q.collect()) == [
         ("k1", 2), ("k2", 3), ("k3", 4), ("k4", 5)]
 
@@ -194,8 +196,39 @@ def test_potential_duplicates_copies_and_threshold(spark):
 def test_connected_groups(spark):
     edges = [("a", "b"), ("b", "c"), ("d", "e"), ("f", "f"), ("c", "a"), ("x", "y"), ("y", "z"), ("z", "w")]
     df = spark.createDataFrame(edges, "contact_key_a string, contact_key_b string")
-    got = {r.node: r.group_id for r in mdm.connected_groups(df).collect()}
-    assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d", "w": "w", "x": "w", "y": "w", "z": "w"}
+    got = sorted(map(tuple, mdm.connected_groups(df).collect()))
+    assert got == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d"), ("w", "w"), ("x", "w"), ("y", "w"), ("z", "w")]
+
+
+def test_connected_groups_leaf_between_two_centres(spark):
+    # Stopping as soon as no centre is a leaf would leave node 3 in two groups.
+    df = spark.createDataFrame([(4, 3), (5, 3), (4, 1), (5, 2)], "contact_key_a long, contact_key_b long")
+    assert sorted(map(tuple, mdm.connected_groups(df).collect())) == [(i, 1) for i in range(1, 6)]
+
+
+def test_connected_groups_random_sparse_graphs(spark):
+    # 200 random graphs at once, as disjoint ranges of node numbers.
+    rng = random.Random(11)
+    edges = [(1000 * g + rng.randrange(12), 1000 * g + rng.randrange(12)) for g in range(200) for _ in range(rng.randrange(1, 10))]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+    for u, v in edges:
+        a, b = find(u), find(v)
+        parent[max(a, b)] = min(a, b)
+    nodes = {x for u, v in edges if u != v for x in (u, v)}
+    df = spark.createDataFrame(edges, "contact_key_a long, contact_key_b long")
+    assert sorted(map(tuple, mdm.connected_groups(df).collect())) == sorted((x, find(x)) for x in nodes)
+
+
+def test_merge_fails_on_a_repeated_source_key(spark):
+    target = _silver_rows(spark, [("k1", "a@x", "1", 50, "s1")])
+    source = _silver_rows(spark, [("k1", "b@x", "2", 60, "s2"), ("k1", "c@x", "3", 70, "s3")])
+    with pytest.raises(Exception, match="repeats the key"):
+        incremental.merge_upsert(target, source, update_columns=("email",)).collect()
 
 
 def test_connected_groups_long_chains_match_union_find(spark):
@@ -221,8 +254,8 @@ def test_connected_groups_long_chains_match_union_find(spark):
             parent[max(ru, rv)] = min(ru, rv)
     nodes = {x for u, v in edges if u != v for x in (u, v)}
     df = spark.createDataFrame(edges, "contact_key_a string, contact_key_b string")
-    got = {r.node: r.group_id for r in mdm.connected_groups(df).collect()}
-    assert got == {x: find(x) for x in nodes}
+    got = sorted(map(tuple, mdm.connected_groups(df).collect()))
+    assert got == sorted((x, find(x)) for x in nodes)
 
 
 # ---------------------------------------------------------------- incremental
@@ -333,6 +366,10 @@ def test_pii_flags_select_masks(spark):
     df = quality.attach_dictionary(df, quality.CONTACT_DICTIONARY)
     pol = security.pii_policy(df)
     assert set(pol) == {"email", "phone"}
+    named = quality.attach_dictionary(spark.createDataFrame([("John", None)], "first_name string, last_name string"),
+                                      quality.CONTACT_DICTIONARY)
+    shown = security.apply_masks(named, AccessContext("u@x", "ROLE_ANALYST"), security.pii_policy(named)).first()
+    assert tuple(shown) == ("J***", None)
     r = security.apply_masks(df, AccessContext("u@x", "ROLE_ANALYST"), pol).collect()[0]
     assert (r.email, r.phone, r.company_name) == ("j*******@****.***", "***-***-4567", "Acme")
     rules, uniques = quality.rules_from_schema(df, "t")

@@ -6,8 +6,9 @@ import __spark_entry__ as E
 from tools.oracle_check import check, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+# The training-data queries have their own tests in tests/llm.
+from goldvein.plans.catalog import QUERIES  # noqa: E402
+from goldvein.plans.oracle import ORACLE  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,10 @@ def test_every_query_has_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_lists_all_queries():
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert len(df.columns) == 24 and df.count() > 0

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from goldvein.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Queries that write or checkpoint while being built are skipped here.
@@ -13,9 +13,9 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_no_quadratic_joins(spark, name):
-    p = plan_text(E.queries()[name](spark, SF))
+    p = plan_text(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p
 
 
