@@ -127,41 +127,36 @@ class Sparse:
     penalty and weights of at least 0 (nothing makes up for an insult, and long
     texts don't add up to innocence), by accelerated proximal steps; the constant is free."""
 
-    def __init__(self, lists: list[np.ndarray], y: np.ndarray, penalty: float = 1e-4, steps: int = 300):
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
-        names, inverse, docs = np.unique(flat, return_inverse=True, return_counts=True)
-        keep = docs >= SUPPORT
-        column = np.cumsum(keep) - 1
-        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[keep[inverse]]
-        col = column[inverse][keep[inverse]]
-        names, k, n = names[keep], int(keep.sum()), max(1, len(lists))
+    def __init__(self, names: np.ndarray, lists: list[np.ndarray], y: np.ndarray, penalty: float = 1e-4, steps: int = 300):
+        """names: sorted features; lists: per document, the places in it of those it shows."""
+        n, k = max(1, len(lists)), len(names)
+        row = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+        col = np.concatenate(lists) if lists else np.zeros(0, np.int32)
         w, b = np.zeros(k), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))) if len(y) else 0.0
-        # Step size per feature from its own curvature, shared by the features of a document.
-        per_doc = np.bincount(row, minlength=len(lists)).max() if len(row) else 1
+        # Steps per feature by how rare it is, all of them by how many a document shows.
+        per_doc = np.bincount(row, minlength=n).max() if len(row) else 1
         rate = 4.0 / max(1.0, 0.05 * per_doc)
+        scale = np.minimum(n / np.maximum(np.bincount(col, minlength=k), 1.0), 50.0)
         z, t, v = w.copy(), 1.0, b
-        scale = n / np.maximum(docs[keep], 1.0)
-        scale = np.minimum(scale, 50.0)
         for _ in range(steps if k else 0):
-            s = np.bincount(row, weights=z[col], minlength=len(lists)) + v
+            s = np.bincount(row, weights=z[col], minlength=n) + v
             e = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y) / n
             g = np.bincount(col, weights=e[row], minlength=k)
             step = rate * scale
-            new = z - step * g
-            new = np.maximum(new - step * penalty, 0)
+            new = np.maximum(z - step * g - step * penalty, 0)
             u = (1 + np.sqrt(1 + 4 * t * t)) / 2
             if ((z - new) * (new - w)).sum() > 0:
                 u = 1.0  # restart
             z, w, t = new + (t - 1) / u * (new - w), new, u
             v -= rate * e.sum()
-        on = np.abs(w) > 1e-6
+        self.scores = np.bincount(row, weights=w[col], minlength=n) + v
+        on = w > 1e-6
         self.names, self.weights, self.constant = names[on], w[on], v
 
-    def calibrate(self, lists: list[np.ndarray], y: np.ndarray) -> None:
+    def calibrate(self, y: np.ndarray) -> None:
         """Scale and shift of the linear score by Newton steps on known labels
         (Platt's targets), so that a threshold on the score means a probability."""
-        z = np.array([self.linear(x) for x in lists])
-        hits = y.sum()
+        z, hits = self.scores, y.sum()
         y = np.where(y > 0, (hits + 1) / (hits + 2), 1 / (len(y) - hits + 2))
         x, p = np.stack([z, np.ones(len(z))], axis=1), np.array([1.0, 0.0])
         for _ in range(30):
@@ -216,6 +211,30 @@ def telling_terms(rows: DataFrame, column: str, toxic: int, clean: int) -> np.nd
     return np.array([r["term"] for r in best.select("term").collect()], np.int64).view(np.uint64)
 
 
+def known_features(sample: DataFrame) -> np.ndarray:
+    """Sorted features that SUPPORT documents of the bounded sample show."""
+    terms = sample.select(F.explode(F.concat("words", "beginnings")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    kept = terms.where(F.col("n") >= SUPPORT).select("term").toPandas()["term"]
+    return np.sort(kept.to_numpy(np.int64).view(np.uint64))
+
+
+def training_rows(sample: DataFrame, names: np.ndarray, voters: Voters) -> pd.DataFrame:
+    """Of the bounded sample: y, votes, and ``at``, the places in names of the features shown (32-bit integers)."""
+    cast = sample.sparkSession.sparkContext.broadcast((names, voters))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, vote = cast.value
+        for b in batches:
+            at, votes = [], []
+            for t in b.column("t").to_pylist():
+                x = np.unique(np.concatenate(features_of(t)))
+                at.append(np.searchsorted(known, member(x, known)).astype(np.int32).tobytes())
+                votes.append(vote(t))
+            yield pa.record_batch([b.column("y"), pa.array(votes, pa.int64()), pa.array(at, pa.binary())], names=["y", "votes", "at"])
+
+    return map_batches(sample.select("t", "y"), run, "y double, votes long, at binary", arrow=True).toPandas()
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
                     folds: int = 3, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
     """One row per input row: doc_id, held_out, score (0 to 1), predicted (0
@@ -257,11 +276,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
 
         share = labels_of(labels, label, doc_id).where(fold("doc_id", folds) != held_out).agg(F.avg("y")).first()[0]
         model = LabelModel(summed(votes, moments, count + 2), float(np.clip(share, 0.005, 0.5)))
-        got = sample.select("t", "y", F.concat("words", "beginnings").alias("x")).collect()
-        given = model.posterior(unpacked(np.array([voters(r["t"]) for r in got], np.int64), count))
-        lists = [np.array(r["x"], np.int64).view(np.uint64) for r in got]
-        net = Sparse(lists, given)
-        net.calibrate(lists, np.array([r["y"] for r in got]))
+        names = known_features(sample)
+        got = training_rows(sample, names, voters)
+        given = model.posterior(unpacked(got["votes"].to_numpy(np.int64), count))
+        net = Sparse(names, [np.frombuffer(x, np.int32) for x in got["at"]], given)
+        net.calibrate(got["y"].to_numpy(np.float64))
+        del net.scores
     fitted = spark.sparkContext.broadcast((model, net))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
