@@ -338,8 +338,11 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
     spark = pages.sparkSession
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
                         F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"))
-    sample = rows.where("html != ''").orderBy(F.xxhash64("page_id"), "page_id", "url", "html").limit(sample_pages)
-    net = spark.sparkContext.broadcast(train_labeller([r["html"] for r in sample.select("html").collect()]).p)
+    # Which pages are in the sample is settled on their hashes, so only its own pages are sent.
+    hashed = rows.where("html != ''").withColumn("hash", F.xxhash64("page_id", "url", "html"))
+    least = [r["hash"] for r in hashed.select("hash").orderBy("hash").limit(sample_pages).collect()]
+    sample = hashed.where(F.col("hash") <= least[-1]).orderBy("hash").limit(sample_pages).collect() if least else []
+    net = spark.sparkContext.broadcast(train_labeller([r["html"] for r in sample]).p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller()
