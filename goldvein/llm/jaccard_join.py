@@ -225,6 +225,7 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
     many of a bounded sample of documents show it, then by hash. Similar sets
     always share one, whatever the order."""
     rows = open_nodes.join(texts, "node")
+    rows = rows.select("node", "component", "t")
     common = common_shingles(rows)
     cast = rows.sparkSession.sparkContext.broadcast(common)
 
@@ -258,7 +259,8 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that at least COMMON of a bounded sample of the texts show, with how many do."""
-    sample = rows.select("node", "t").orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
+    ids = rows.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
+    sample = rows.join(F.broadcast(ids), "node", "left_semi").select("t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
