@@ -57,5 +57,6 @@ def release(df: DataFrame) -> None:
     which between two large steps may otherwise take its time."""
     import gc
 
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()

@@ -37,6 +37,8 @@ from goldvein.operators.mdm import connected_groups
 
 #: Documents that the order of the prefix join is estimated from, and the share of them that makes a shingle common.
 ORDER_SAMPLE, COMMON = 2000, 0.005
+#: Cells of the sketch that most unlike pairs are told apart by.
+CELLS = 256
 
 
 def shingles(text: str, n: int = 5) -> np.ndarray:
@@ -112,23 +114,29 @@ def _node(s: np.ndarray) -> tuple[int, int]:
     return int(mix(a + mix(s).sum(dtype=np.uint64)).view(np.int64)[0]), int(np.array([b], np.uint64).view(np.int64)[0])
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many elements fall into each of CELLS cells, up to 15, two cells a
+    byte. The cells of two sets differ by no more than the sets do."""
+    c = np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS), 15).astype(np.uint8)
+    return (c[::2] | c[1::2] << 4).tobytes()
+
+
 def digests(rows: DataFrame) -> DataFrame:
-    """(doc_id, n, node, node2) of (doc_id, t)."""
+    """(doc_id, n, node, node2, sketch) of (doc_id, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column("t").to_pylist()]
             nodes = [_node(s) for s in sets]
-            yield pa.record_batch([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array([x for x, _ in nodes], pa.int64()), pa.array([x for _, x in nodes], pa.int64())],
-                                  names=["doc_id", "n", "node", "node2"])
+            yield pa.record_batch([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in nodes], pa.int64()),
+                                   pa.array([x for _, x in nodes], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
+                                  names=["doc_id", "n", "node", "node2", "sketch"])
 
-    return map_batches(rows, run, "doc_id long, n long, node long, node2 long", arrow=True)
+    return map_batches(rows, run, "doc_id long, n long, node long, node2 long, sketch binary", arrow=True)
 
 
 def buckets(rows: DataFrame) -> DataFrame:
-    """(sig, node, n) for every signature that different sets share. One
-    exchange; a task streams its sorted rows and holds one of them."""
+    """(sig, node, n) for every signature that different sets share."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme = PartEnum()
@@ -145,9 +153,20 @@ def buckets(rows: DataFrame) -> DataFrame:
                 yield pa.record_batch([_signed(np.concatenate(sigs)), pa.array(np.concatenate(nodes), pa.int64()),
                                        pa.array(np.concatenate(sizes), pa.int32())], names=["sig", "node", "n"])
 
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((3, 0), np.int64)
-        linked = False  # the held row has a neighbour of its bucket before it
+    return shared(map_batches(rows, sign, "sig long, node long, n int", arrow=True))
+
+
+def shared(rows: DataFrame) -> DataFrame:
+    """Of (sig, node, n), the distinct rows whose sig another node has too. One
+    exchange; a task streams its sorted rows and holds one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, linked = np.zeros((3, 0), np.int64), False  # linked: the held row has a neighbour of its bucket before it
+
+        def out(x: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(x[0], pa.int64()), pa.array(x[1], pa.int64()), pa.array(x[2].astype(np.int32), pa.int32())],
+                                   names=["sig", "node", "n"])
+
         for b in batches:
             x = np.concatenate([held, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])], axis=1)
             fresh = np.ones(x.shape[1], bool)
@@ -161,19 +180,15 @@ def buckets(rows: DataFrame) -> DataFrame:
             keep[:-1] |= same
             keep[0] |= linked
             held, linked = x[:, -1:], bool(keep[-1])
-            out = x[:, :-1][:, keep[:-1]]
-            if out.shape[1]:
-                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2].astype(np.int32), pa.int32())],
-                                      names=["sig", "node", "n"])
+            if keep[:-1].any():
+                yield out(x[:, :-1][:, keep[:-1]])
         if linked:
-            yield pa.record_batch([pa.array(held[0], pa.int64()), pa.array(held[1], pa.int64()), pa.array(held[2].astype(np.int32), pa.int32())],
-                                  names=["sig", "node", "n"])
+            yield out(held)
 
-    schema = "sig long, node long, n int"
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = map_batches(rows, sign, schema, arrow=True).repartition(parts, "sig").sortWithinPartitions("sig", "node")
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
-    return signed.mapInArrow(shared, schema)
+    conf = rows.sparkSession.conf
+    dealt = rows.repartition(int(conf.get("spark.sql.shuffle.partitions")), "sig").sortWithinPartitions("sig", "node")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
+    return dealt.mapInArrow(run, "sig long, node long, n int")
 
 
 def similar_sizes(a: str, b: str):
@@ -189,6 +204,26 @@ def star_pairs(m: DataFrame) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct()
 
 
+def possible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches leave open: similar sets of
+    sizes x and y differ in (x + y) / 7 elements at most."""
+    one = reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    two = reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int16) for c in ("sa", "sb"))
+            apart = (np.abs((x & 15) - (y & 15)) + np.abs((x >> 4) - (y >> 4))).sum(axis=1)
+            total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(7 * apart <= total))
+
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
+    both.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(rep_a, rep_b) of the pairs (a, b) of nodes that are similar. texts: (node, rep, t)."""
     one = texts.select(F.col("node").alias("a"), F.col("rep").alias("rep_a"), F.col("t").alias("t_a"))
@@ -224,16 +259,13 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
     n - ceil(3n/4) + 1 first of each, in one order of all shingles: by how
     many of a bounded sample of documents show it, then by hash. Similar sets
     always share one, whatever the order."""
-    rows = open_nodes.join(texts, "node")
-    rows = rows.select("node", "component", "t")
-    common = common_shingles(rows)
-    cast = rows.sparkSession.sparkContext.broadcast(common)
+    cast = open_nodes.sparkSession.sparkContext.broadcast(common_shingles(open_nodes, texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts = cast.value
         for b in batches:
             out = []
-            for node, component, t in zip(*[b.column(c).to_pylist() for c in ("node", "component", "t")], strict=True):
+            for node, t in zip(b.column("node").to_pylist(), b.column("t").to_pylist(), strict=True):
                 s = shingles(t)
                 n = len(s)
                 seen = np.zeros(n, np.int64)
@@ -241,26 +273,28 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
                     at = np.minimum(np.searchsorted(names, s), len(names) - 1)
                     seen = np.where(names[at] == s, counts[at], 0)
                 first = s[np.lexsort((s, seen))][:n - -(-3 * n // 4) + 1]
-                out.append((first, np.full(len(first), node), np.full(len(first), component), np.full(len(first), n, np.int32)))
+                out.append((first, np.full(len(first), node), np.full(len(first), n, np.int32)))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.record_batch([_signed(cols[0]), *[pa.array(c) for c in cols[1:]]], names=["key", "node", "component", "n"])
+                yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32())], names=["sig", "node", "n"])
 
-    keys = map_batches(rows.select("node", "component", "t"), run, "key long, node long, component long, n int", arrow=True)
-    keys = written(keys, "prefix-keys")
+    rows = texts.join(open_nodes.select("node"), "node", "left_semi").select("node", "t")
+    keys = written(shared(map_batches(rows, run, "sig long, node long, n int", arrow=True)), "prefix-keys")
+    release(keys)
+    keys = keys.join(open_nodes, "node")
     # Keys whose documents are of one component already need no look.
-    several = keys.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    keys = keys.join(several, "key", "left_semi")
-    one = keys.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    two = keys.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    pairs = one.join(two, (one["key"] == two["key"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb"))
+    several = keys.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
+    keys = keys.join(several, "sig", "left_semi")
+    one = keys.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
+    two = keys.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+    pairs = one.join(two, (one["sig"] == two["sig"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb"))
     return pairs.select("a", "b").distinct()
 
 
-def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(open_nodes: DataFrame, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that at least COMMON of a bounded sample of the texts show, with how many do."""
-    ids = rows.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
-    sample = rows.join(F.broadcast(ids), "node", "left_semi").select("t")
+    ids = open_nodes.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
+    sample = texts.join(F.broadcast(ids), "node", "left_semi").select("t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -290,17 +324,21 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     all_docs = written(digests(rows), "shingle-digests")
     m = written(buckets(rows), "signature-buckets")
     release(m)
-    reps = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL")
-    reps = written(reps.join(m.select("node").distinct(), "node", "left_semi").select("node", "rep"), "representatives")
-    texts = written(rows.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id").dropDuplicates(["doc_id", "node"])
+    reps = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    reps = written(reps.where("rep IS NOT NULL").join(m.select("node").distinct(), "node", "left_semi").drop("node2"), "representatives")
+    texts = written(rows.join(reps.select("node", F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id", "node"])
                     .select("node", F.col("doc_id").alias("rep"), "t"), "candidate-texts")
     release(m)
-    links = written(verified(star_pairs(m), texts), "star-links")
+    stars = written(possible(star_pairs(m), reps), "star-pairs")
+    links = written(verified(stars, texts), "star-links")
+    release(m)
     groups = connected_groups(links, "rep_a", "rep_b")
     open_nodes = written(unresolved(m, reps, groups), "open-nodes")
-    more = written(verified(written(prefix_pairs(open_nodes, texts), "prefix-pairs"), texts), "prefix-links")
     release(m)
-    links = links.unionByName(more).where("rep_a != rep_b").distinct()
+    more = written(possible(prefix_pairs(open_nodes, texts), reps), "prefix-pairs")
+    release(m)
+    links = written(links.unionByName(verified(more, texts)).where("rep_a != rep_b").distinct(), "links")
+    release(m)
     groups = connected_groups(links, "rep_a", "rep_b").withColumnRenamed("node", "rep")
     ends = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     named = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep")).join(groups, "rep", "left").join(ends, "rep", "left")
