@@ -519,3 +519,11 @@ def q_review_queue(spark, d):
     pairs = mdm.with_match_tier(potential_duplicates(golden(spark, d), threshold=MDM_MATCH_THRESHOLD,
                                                      sort=False))
     return mdm.review_queue(ranked, pairs)
+
+
+@register("embedding_pairs")
+def q_embedding_pairs(spark, d):
+    """Pairs of the embeddings table with cosine > 0.4."""
+    from goldvein.operators.vector_pairs import similar_vectors
+    pairs = similar_vectors(read(spark, d, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", 0.4)
+    return pairs.select("vec_id_a", "vec_id_b", F.round("cosine", 6).alias("cosine"))

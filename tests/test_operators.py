@@ -374,3 +374,17 @@ def test_pii_flags_select_masks(spark):
     assert (r.email, r.phone, r.company_name) == ("j*******@****.***", "***-***-4567", "Acme")
     rules, uniques = quality.rules_from_schema(df, "t")
     assert uniques == [["contact_key"], ["email"]] and any(x.kind == "valid_email" for x in rules)
+
+
+def test_similar_vectors_exact_at_every_threshold(spark):
+    from goldvein.operators.vector_pairs import similar_vectors
+    rng = random.Random(21)
+    rows = [(i, [rng.gauss(0, 1) + 3 * (j == i % 4) for j in range(6)]) for i in range(120)]
+    rows += [(200, None), (201, [0.0] * 6), (202, list(rows[0][1])), (203, [2 * x for x in rows[1][1]])]
+    df = spark.createDataFrame(rows, "id long, v array<float>")
+    norm = {i: sum(x * x for x in v) ** 0.5 for i, v in rows if v}
+    for t in (0.97, 0.8, 0.2):
+        got = {(r.id_a, r.id_b) for r in similar_vectors(df, "id", "v", t, pivots=7).collect()}
+        exp = {(a, b) for (a, u), (b, v) in itertools.combinations([r for r in rows if r[1]], 2)
+               if norm[a] and norm[b] and sum(x * y for x, y in zip(u, v)) / norm[a] / norm[b] > t}
+        assert got == exp
