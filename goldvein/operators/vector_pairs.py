@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldvein.session import cut_to_table
+
 PIVOTS = 32
 
 
@@ -38,7 +40,9 @@ def similar_vectors(vectors: DataFrame, key: str, vector: str, threshold: float,
     rows = rows.withColumn("n", norm).where("n > 0").select("k", F.transform("v", lambda x: x / F.col("n")).alias("v"))
     chosen = rows.orderBy(F.xxhash64("k"), "k").limit(pivots).agg(F.collect_list("v").alias("p"))
     angles = F.transform("p", lambda p: F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _dot(p, F.col("v"))))))
-    placed = rows.withColumn("p", chosen.scalar()).select("k", "v", angles.alias("a")).withColumn("home", F.array_position("a", F.array_min("a")))
+    # Written once: the angles feed both sides of the join.
+    placed = cut_to_table(rows.withColumn("p", chosen.scalar()).select("k", "v", angles.alias("a")), "angles")
+    placed = placed.withColumn("home", F.array_position("a", F.array_min("a")))
     margin = 2 * math.acos(max(-1.0, min(1.0, threshold))) + 1e-9
     visits = F.filter(F.transform("a", lambda x, i: F.when(x <= F.array_min("a") + margin, i + 1)), lambda c: c.isNotNull())
     home = placed.select(F.col("home").cast("int").alias("cell"), F.col("k").alias("k_a"), F.col("v").alias("v_a"))
