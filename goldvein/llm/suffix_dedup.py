@@ -114,14 +114,18 @@ def neighbours(rows: DataFrame) -> DataFrame:
 
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
     found = written(ranged.mapInArrow(compare, NEIGHBOUR), "neighbours")
-    # One key per partition, at most, can go on from the partition before.
+    # One key per partition, at most, can go on from the partition before. Of such a
+    # key, every partition has one leading row; only these are put right.
     edge = F.broadcast(found.where("head").select("key").distinct())
-    inner = found.where("again").join(edge, "key", "left_anti").select("key", "doc", "h", "pos", "first")
-    border = found.join(edge, "key", "left_semi").select("key", "doc", "h", "pos")
-    least = border.groupBy("key").agg(F.min(F.struct("doc", "pos", "h")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    border = border.join(F.broadcast(least), "key").select(
-        "key", "doc", "h", "pos", (F.struct("doc", "pos", "h") == F.col("m")).alias("first"))
-    return inner.unionByName(border)
+    cols = ["key", "doc", "h", "pos"]
+    later = found.where("again AND NOT first").select(*cols, "first")
+    leading = found.where("first").select(*cols, "again")
+    inner = leading.where("again").join(edge, "key", "left_anti").select(*cols, F.lit(True).alias("first"))
+    border = leading.join(edge, "key", "left_semi")
+    least = border.groupBy("key").agg(F.min(F.struct("doc", "pos", "h")).alias("m"), F.count(F.lit(1)).alias("n"))
+    border = border.join(F.broadcast(least), "key").where("again OR n > 1").select(
+        *cols, (F.struct("doc", "pos", "h") == F.col("m")).alias("first"))
+    return later.unionByName(inner).unionByName(border)
 
 
 def spans_of(starts: np.ndarray) -> list[tuple[int, int]]:
