@@ -37,6 +37,8 @@ from goldvein.operators.mdm import connected_groups
 
 #: Documents that the order of the prefix join is estimated from, and the share of them that makes a shingle common.
 ORDER_SAMPLE, COMMON = 2000, 0.005
+#: Bits that a shingle's place in the order takes beside its set's size.
+PLACES = 24
 #: Cells of the sketch that most unlike pairs are told apart by.
 CELLS = 256
 
@@ -148,12 +150,12 @@ def buckets(rows: DataFrame) -> DataFrame:
                     x = scheme.signatures(s)
                     sigs.append(x)
                     nodes.append(np.full(len(x), _node(s)[0]))
-                    sizes.append(np.full(len(x), len(s), np.int32))
+                    sizes.append(np.full(len(x), len(s)))
             if sigs:
                 yield pa.record_batch([_signed(np.concatenate(sigs)), pa.array(np.concatenate(nodes), pa.int64()),
-                                       pa.array(np.concatenate(sizes), pa.int32())], names=["sig", "node", "n"])
+                                       pa.array(np.concatenate(sizes), pa.int64())], names=["sig", "node", "n"])
 
-    return shared(map_batches(rows, sign, "sig long, node long, n int", arrow=True))
+    return shared(map_batches(rows, sign, "sig long, node long, n long", arrow=True))
 
 
 def shared(rows: DataFrame) -> DataFrame:
@@ -164,7 +166,7 @@ def shared(rows: DataFrame) -> DataFrame:
         held, linked = np.zeros((3, 0), np.int64), False  # linked: the held row has a neighbour of its bucket before it
 
         def out(x: np.ndarray) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(x[0], pa.int64()), pa.array(x[1], pa.int64()), pa.array(x[2].astype(np.int32), pa.int32())],
+            return pa.record_batch([pa.array(x[0], pa.int64()), pa.array(x[1], pa.int64()), pa.array(x[2], pa.int64())],
                                    names=["sig", "node", "n"])
 
         for b in batches:
@@ -188,7 +190,7 @@ def shared(rows: DataFrame) -> DataFrame:
     conf = rows.sparkSession.conf
     dealt = rows.repartition(int(conf.get("spark.sql.shuffle.partitions")), "sig").sortWithinPartitions("sig", "node")
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
-    return dealt.mapInArrow(run, "sig long, node long, n int")
+    return dealt.mapInArrow(run, "sig long, node long, n long")
 
 
 def similar_sizes(a: str, b: str):
@@ -258,7 +260,8 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Distinct (a, b) of different components that share a shingle among the
     n - ceil(3n/4) + 1 first of each, in one order of all shingles: by how
     many of a bounded sample of documents show it, then by hash. Similar sets
-    always share one, whatever the order."""
+    always share one, whatever the order; and at the first one shared, what comes
+    from there on is room enough for all that they have to share."""
     cast = open_nodes.sparkSession.sparkContext.broadcast(common_shingles(open_nodes, texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,21 +276,24 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
                     at = np.minimum(np.searchsorted(names, s), len(names) - 1)
                     seen = np.where(names[at] == s, counts[at], 0)
                 first = s[np.lexsort((s, seen))][:n - -(-3 * n // 4) + 1]
-                out.append((first, np.full(len(first), node), np.full(len(first), n, np.int32)))
+                out.append((first, np.full(len(first), node), n << PLACES | np.arange(len(first))))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32())], names=["sig", "node", "n"])
+                yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["sig", "node", "n"])
 
     rows = texts.join(open_nodes.select("node"), "node", "left_semi").select("node", "t")
-    keys = written(shared(map_batches(rows, run, "sig long, node long, n int", arrow=True)), "prefix-keys")
+    keys = written(shared(map_batches(rows, run, "sig long, node long, n long", arrow=True)), "prefix-keys")
     release(keys)
     keys = keys.join(open_nodes, "node")
     # Keys whose documents are of one component already need no look.
     several = keys.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
     keys = keys.join(several, "sig", "left_semi")
-    one = keys.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    two = keys.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
-    pairs = one.join(two, (one["sig"] == two["sig"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb"))
+    size, place = F.shiftright("n", PLACES), F.col("n").bitwiseAND((1 << PLACES) - 1)
+    one = keys.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), size.alias("na"), (size - place).alias("ra"))
+    two = keys.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), size.alias("nb"), (size - place).alias("rb"))
+    # At the first shingle that two similar sets share, what is left of either holds all they share: 3/7 of both sizes.
+    room = 7 * F.least("ra", "rb") >= 3 * (F.col("na") + F.col("nb"))
+    pairs = one.join(two, (one["sig"] == two["sig"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb") & room)
     return pairs.select("a", "b").distinct()
 
 
