@@ -56,11 +56,11 @@ def sufficient_lookahead(merges: list[tuple[int, int, int]], size: dict[int, int
     merge (checked), so no merge can be undone later.
     """
     made_at, left_of, best, reach = {}, {}, {}, 0
-    for rank, (x, y, xy) in enumerate(merges):
-        if any(made_at.get(t, -1) >= rank for t in (x, y)):
-            raise ValueError("a merge uses a token that is made later")
+    for rank, (x, _, xy) in enumerate(merges):
         made_at.setdefault(xy, rank)
         left_of.setdefault(xy, x)
+    if any(made_at.get(t, -1) >= rank for rank, (x, y, _) in enumerate(merges) for t in (x, y)):
+        raise ValueError("a merge uses a token that is made later")
     for x, y, _ in reversed(merges):
         chain = size[x] + best.get(x, 0)
         reach, t = max(reach, chain), y
