@@ -58,6 +58,9 @@ def _pairs_blocked(df: DataFrame, key: str, item: str, sizes: DataFrame, block_r
     spread = spread.select(
         key, item, *carry, "_blk",
         F.least("_blk", "_other").alias("_lo"), F.greatest("_blk", "_other").alias("_hi"))
+    # The pairs are quadratic in a block, not in the input's size, so the input's small size must not
+    # put all blocks into one task: dealt by block pair, whose rows are bounded.
+    spread = spread.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key, "_lo", "_hi")
     a = spread.select(F.col(key), F.col("_lo"), F.col("_hi"), F.col("_blk").alias("_ba"),
                       *_side(spread, item, carry, "_a"))
     b = spread.select(F.col(key).alias("_kb"), F.col("_lo").alias("_lob"), F.col("_hi").alias("_hib"),
