@@ -17,8 +17,10 @@ Documents that share a signature form a bucket. Buckets are never paired out:
    that order and brings nobody together.
 
 Equal sets are one node from the start, so copies cost nothing. The result has
-one row per document with its component, and every link between different
-sets is either checked or implied by checked ones.
+one row per document with its component; the links that components need are
+either checked or implied by checked ones. How many sets each set is similar to
+is counted apart (``link_counts``), over all pairs within a component, and only
+if that column is asked for.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ ORDER_SAMPLE, COMMON = 2000, 0.005
 PLACES = 24
 #: Cells of the sketch that most unlike pairs are told apart by.
 CELLS = 256
+#: Sets of a component that one block has on average; links are counted by pairs of blocks.
+BLOCK = 256
 
 
 def shingles(text: str, n: int = 5) -> np.ndarray:
@@ -116,6 +120,12 @@ def _node(s: np.ndarray) -> tuple[int, int]:
     return int(mix(a + mix(s).sum(dtype=np.uint64)).view(np.int64)[0]), int(np.array([b], np.uint64).view(np.int64)[0])
 
 
+def _cells(sketches: list[bytes]) -> np.ndarray:
+    """The counts of sketches, a row each (in no order of the cells that matters)."""
+    x = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1).astype(np.int16)
+    return np.concatenate([x & 15, x >> 4], axis=1)
+
+
 def sketch(s: np.ndarray) -> bytes:
     """How many elements fall into each of CELLS cells, up to 15, two cells a
     byte. The cells of two sets differ by no more than the sets do."""
@@ -216,8 +226,8 @@ def possible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int16) for c in ("sa", "sb"))
-            apart = (np.abs((x & 15) - (y & 15)) + np.abs((x >> 4) - (y >> 4))).sum(axis=1)
+            x, y = (_cells(batch.column(c).to_pylist()) for c in ("sa", "sb"))
+            apart = np.abs(x - y).sum(axis=1)
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(7 * apart <= total))
 
@@ -315,13 +325,83 @@ def common_shingles(open_nodes: DataFrame, texts: DataFrame) -> tuple[np.ndarray
     return names[order], counts[order]
 
 
+def link_counts(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, n_links): to how many other sets each set is similar, where any.
+
+    Similar sets are of one component, so a component's sets are cut into blocks
+    by hash and every pair of blocks is one unit of work, dealt over all tasks:
+    a component of any size spreads, and each pair of sets meets once. Sizes and
+    sketches tell most unlike pairs apart, the others are compared exactly; only
+    counts leave a task. texts: (node, rep, t); groups: (node, group_id) of reps.
+    """
+    sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("g"))
+    blocks = groups.join(sizes, "group_id").select(F.col("node").alias("rep"), F.col("group_id").alias("component"),
+                                                   F.ceil(F.col("g") / BLOCK).cast("int").alias("blocks"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = [shingles(t) for t in b.column("t").to_pylist()]
+            yield pa.record_batch([*b.columns[:-1], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([sketch(x) for x in s], pa.binary())],
+                                  names=[*b.schema.names[:-1], "s", "sketch"])
+
+    members = texts.join(blocks, "rep").select("component", "blocks", "node", "t")
+    members = map_batches(members, sets, "component long, blocks int, node long, s binary, sketch binary", arrow=True)
+    members = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "s", "sketch")
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, "component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "own")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, cells, sizes, names, counts = None, [], None, None, [], None
+
+        def out(nodes: list[int], links: list[int] | np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(nodes, pa.int64()), pa.array(links, pa.int64())], names=["node", "links"])
+
+        for batch in batches:
+            later, found = [], []  # sets of the second block, which only meet those of the first
+            for component, lo, hi, own, node, raw, sk in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if key != (component, lo, hi):
+                    if held:
+                        yield out(names, counts[:len(held)])
+                    key, held, names = (component, lo, hi), [], []
+                    cells, sizes, counts = np.zeros((BLOCK, CELLS), np.int16), np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
+                s, cell, k, mine = np.frombuffer(raw, np.uint64), _cells([sk])[0], len(held), 0
+                n = len(s)
+                if k and (lo == hi or own == hi):
+                    near = np.flatnonzero((3 * np.maximum(sizes[:k], n) <= 4 * np.minimum(sizes[:k], n)))
+                    near = near[7 * np.abs(cells[near] - cell).sum(axis=1) <= sizes[near] + n]
+                    for i in near:
+                        inter = len(np.intersect1d(held[i], s, assume_unique=True))
+                        if 100 * inter >= 75 * (len(held[i]) + n - inter):
+                            counts[i] += 1
+                            mine += 1
+                if own == lo:
+                    if k == len(sizes):
+                        cells, sizes, counts = (np.concatenate([x, np.zeros_like(x)]) for x in (cells, sizes, counts))
+                    held.append(s)
+                    names.append(node)
+                    cells[k], sizes[k], counts[k] = cell, n, mine
+                else:
+                    later.append(node)
+                    found.append(mine)
+            if later:
+                yield out(later, found)
+        if held:
+            yield out(names, counts[:len(held)])
+
+    counted = map_batches(dealt, run, "node long, links long", arrow=True)
+    return counted.groupBy("node").agg(F.sum("links").alias("n_links"))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, n_links.
 
     Words are runs of visible characters, A-Z lower-cased; sets are distinct
     5-word shingles (the whole text if it has fewer words); links hold from a
-    Jaccard similarity of 0.75. ``n_links`` counts links found by checks
-    between this row's set and others, not all of them. Null and empty texts have
+    Jaccard similarity of 0.75. ``n_links`` counts all other sets that this
+    row's set is similar to; equal sets count once, copies of it not at all. It is
+    worked out when read, and not at all by a query that leaves it out. Null and empty texts have
     no shingles and link with nothing. Repeated rows and equal texts are one
     component; a null doc_id names no component but may belong to one. Other
     columns are ignored; an empty table gives an empty result.
@@ -345,9 +425,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     release(m)
     links = written(links.unionByName(verified(more, texts)).where("rep_a != rep_b").distinct(), "links")
     release(m)
-    groups = connected_groups(links, "rep_a", "rep_b").withColumnRenamed("node", "rep")
-    ends = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    named = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep")).join(groups, "rep", "left").join(ends, "rep", "left")
-    out = all_docs.join(named, ["node", "node2"], "left")
+    groups = connected_groups(links, "rep_a", "rep_b")
+    named = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep")).join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    out = all_docs.join(named, ["node", "node2"], "left").join(link_counts(texts, groups), "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("group_id", "rep", "doc_id").alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

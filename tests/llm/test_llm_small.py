@@ -189,6 +189,44 @@ def test_jaccard_edges(spark):
     assert jaccard_components(docs(spark, [])).count() == 0
 
 
+def brute_links(rows):
+    """doc_id -> how many other distinct shingle sets are similar to its own."""
+    sets = {}
+    for d, x, _ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
+        sets[d] = frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    distinct = [s for s in set(sets.values()) if s]
+    links = dict.fromkeys(sets.values(), 0)
+    for s, t in itertools.combinations(distinct, 2):
+        if 100 * len(s & t) >= 75 * len(s | t):
+            links[s] += 1
+            links[t] += 1
+    return {d: links[s] for d, s in sets.items()}
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_jaccard_links_are_all_counted(spark, monkeypatch, block):
+    monkeypatch.setattr("goldvein.llm.jaccard_join.BLOCK", block)
+    r = random.Random(6)
+    voc, rows = [f"w{i}" for i in range(2000)], []
+    base = [r.choices(voc, k=200) for _ in range(3)]
+    for i in range(90):
+        w = list(base[min(i % 5, 2)])
+        for _ in range(r.randint(0, 4)):
+            w[r.randrange(len(w))] = r.choice(voc)
+        rows.append((i, " ".join(w), "s"))
+    rows += [(900, "", "s"), (901, None, "s"), (902, rows[0][1].upper(), "s"), (903, "alone", "s")]
+    expected = brute_links(rows)
+    assert max(expected.values()) > 10
+    assert {x.doc_id: x.n_links for x in jaccard_components(docs(spark, rows)).collect()} == expected
+
+
+def test_jaccard_links_cost_nothing_where_left_out(spark):
+    out = jaccard_components(docs(spark, [(1, "a b c", "s"), (2, "a b c d", "s")]))
+    plan = out.select("doc_id", "component_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "links" not in plan and "links" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_partenum_similar_sets_share_a_signature():
     r = np.random.default_rng(5)
     scheme, similar = PartEnum(), 0
