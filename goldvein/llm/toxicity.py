@@ -14,7 +14,9 @@
 
 The labels themselves choose terms, give the share of toxic documents and set
 scale and shift of the final score; what the classifier learns from are the
-posteriors.
+posteriors. The sample is bounded per label, so its rows count as many times as
+they stand for training rows of their label, and the score keeps the table's own
+share of toxic documents.
 """
 
 from __future__ import annotations
@@ -127,20 +129,22 @@ class Sparse:
     penalty and weights of at least 0 (nothing makes up for an insult, and long
     texts don't add up to innocence), by accelerated proximal steps; the constant is free."""
 
-    def __init__(self, names: np.ndarray, lists: list[np.ndarray], y: np.ndarray, penalty: float = 1e-4, steps: int = 300):
-        """names: sorted features; lists: per document, the places in it of those it shows."""
+    def __init__(self, names: np.ndarray, lists: list[np.ndarray], y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, steps: int = 300):
+        """names: sorted features; lists: per document, the places in it of
+        those it shows; weight: per document, how much it counts (1 on average)."""
         n, k = max(1, len(lists)), len(names)
         row = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
         col = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-        w, b = np.zeros(k), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))) if len(y) else 0.0
+        mean = np.average(y, weights=weight) if len(y) else 0.5
+        w, b = np.zeros(k), float(np.log((mean + 1e-3) / (1 - mean + 1e-3)))
         # Steps per feature by how rare it is, all of them by how many a document shows.
         per_doc = np.bincount(row, minlength=n).max() if len(row) else 1
         rate = 4.0 / max(1.0, 0.05 * per_doc)
-        scale = np.minimum(n / np.maximum(np.bincount(col, minlength=k), 1.0), 50.0)
+        scale = np.minimum(n / np.maximum(np.bincount(col, weights=weight[row], minlength=k), 1.0), 50.0)
         z, t, v = w.copy(), 1.0, b
         for _ in range(steps if k else 0):
             s = np.bincount(row, weights=z[col], minlength=n) + v
-            e = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y) / n
+            e = weight * (1 / (1 + np.exp(-np.clip(s, -30, 30))) - y) / n
             g = np.bincount(col, weights=e[row], minlength=k)
             step = rate * scale
             new = np.maximum(z - step * g - step * penalty, 0)
@@ -153,7 +157,7 @@ class Sparse:
         on = w > 1e-6
         self.names, self.weights, self.constant = names[on], w[on], v
 
-    def calibrate(self, y: np.ndarray) -> None:
+    def calibrate(self, y: np.ndarray, weight: np.ndarray) -> None:
         """Scale and shift of the linear score by Newton steps on known labels
         (Platt's targets), so that a threshold on the score means a probability."""
         z, hits = self.scores, y.sum()
@@ -161,7 +165,7 @@ class Sparse:
         x, p = np.stack([z, np.ones(len(z))], axis=1), np.array([1.0, 0.0])
         for _ in range(30):
             q = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
-            p = p - 0.7 * np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (q - y))
+            p = p - 0.7 * np.linalg.solve((x * (weight * q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (weight * (q - y)))
         if p[0] > 0:
             self.weights, self.constant = self.weights * p[0], self.constant * p[0] + p[1]
 
@@ -187,6 +191,14 @@ def sample_rows(docs: DataFrame, labels: DataFrame, part: int, folds: int) -> Da
     return docs.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").dropDuplicates(["doc_id"])
 
 
+def row_weights(y: np.ndarray, known: dict[float, int]) -> np.ndarray:
+    """How much each sampled row counts, 1 on average, by the training rows of
+    its label (``known``) per row that may be sampled of it."""
+    toxic, clean = (max(1.0, known.get(label, 0) / n) for label, n in ((1.0, SAMPLE_TOXIC), (0.0, SAMPLE_CLEAN)))
+    w = np.where(y > 0, toxic, clean)
+    return w / w.mean() if len(w) else w
+
+
 def sample_features(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -238,10 +250,11 @@ def training_rows(sample: DataFrame, names: np.ndarray, voters: Voters) -> pd.Da
 def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
                     folds: int = 3, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
     """One row per input row: doc_id, held_out, score (0 to 1), predicted (0
-    or 1), posterior (of the label model).
+    or 1).
 
     Labels come from documents whose crc32(doc_id) mod ``folds`` is not
-    ``held_out``, at most SAMPLE_TOXIC and SAMPLE_CLEAN of them. Null and empty texts have no
+    ``held_out``, at most SAMPLE_TOXIC and SAMPLE_CLEAN of them, weighted back to
+    the numbers of all such documents. Null and empty texts have no
     features and get the constant's score; a null doc_id is scored, never
     learned from, and not held out. Repeated rows are scored each. Without
     labels of both kinds the fixed insults alone make the score (0.9 with a
@@ -274,13 +287,17 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
             v1 = np.concatenate([v, np.ones((len(v), 1)), ~v.any(axis=1, keepdims=True)], axis=1)
             return np.concatenate([v1.sum(axis=0)[None], v.T @ v1])
 
-        share = labels_of(labels, label, doc_id).where(fold("doc_id", folds) != held_out).agg(F.avg("y")).first()[0]
+        training = labels_of(labels, label, doc_id).where(fold("doc_id", folds) != held_out)
+        known = {r["y"]: r["n"] for r in training.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        share = known.get(1.0, 0) / sum(known.values())
         model = LabelModel(summed(votes, moments, count + 2), float(np.clip(share, 0.005, 0.5)))
         names = known_features(sample)
         got = training_rows(sample, names, voters)
         given = model.posterior(unpacked(got["votes"].to_numpy(np.int64), count))
-        net = Sparse(names, [np.frombuffer(x, np.int32) for x in got["at"]], given)
-        net.calibrate(got["y"].to_numpy(np.float64))
+        y = got["y"].to_numpy(np.float64)
+        weight = row_weights(y, known)
+        net = Sparse(names, [np.frombuffer(x, np.int32) for x in got["at"]], given, weight)
+        net.calibrate(y, weight)
         del net.scores
     fitted = spark.sparkContext.broadcast((model, net))
 

@@ -349,6 +349,26 @@ def test_toxicity_held_out_accuracy_and_edges(spark):
     assert plain == [(1, 0.9, 1), (2, 0.1, 0)] and toxicity_scores(docs(spark, []), labels(spark, [])).count() == 0
 
 
+def test_toxicity_scores_keep_the_share_beyond_the_caps(spark, monkeypatch):
+    r = random.Random(11)
+    voc = ["".join(r.choices("aeioulnrst", k=r.randint(3, 9))) for _ in range(300)]
+    rows, marks = [], []
+    for i in range(1500):
+        # Half of the texts with an insult are labelled clean: their score tells the share that was learned from.
+        w = r.choices(voc, k=40) + (["idiot"] if i % 10 < 2 else [])
+        rows.append((i, " ".join(w), "s"))
+        marks.append((i, 1, int(i % 10 == 0)))
+
+    def mean_score():
+        out = toxicity_scores(docs(spark, rows), labels(spark, marks)).where("doc_id % 10 < 2").agg(F.avg("score")).first()[0]
+        return np.log(out / (1 - out))
+
+    whole = mean_score()
+    monkeypatch.setattr("goldvein.llm.toxicity.SAMPLE_TOXIC", 60)
+    monkeypatch.setattr("goldvein.llm.toxicity.SAMPLE_CLEAN", 120)
+    assert abs(mean_score() - whole) < 0.5  # 1:2 instead of 1:9 would shift it by about 1.5
+
+
 # ---------------------------------------------------------------- packing
 
 def test_plans_use_every_piece_and_never_overflow():
