@@ -44,9 +44,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one whose id names it."""
-    kept = jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    """One document of each group of near copies: the one whose id names it (of several texts of that id, one)."""
+    kept = jaccard_components(docs).where("leads").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_key"))
+    once = _keep(docs, kept, F.xxhash64(_text())).withColumn("_key", F.xxhash64(_text()))
+    return once.dropDuplicates(["doc_id", "_key"]).drop("_key")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

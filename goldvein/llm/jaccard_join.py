@@ -134,17 +134,17 @@ def sketch(s: np.ndarray) -> bytes:
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """(doc_id, n, node, node2, sketch) of (doc_id, t)."""
+    """(doc_id, h, n, node, node2, sketch) of (doc_id, h, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t) for t in b.column("t").to_pylist()]
             nodes = [_node(s) for s in sets]
-            yield pa.record_batch([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in nodes], pa.int64()),
+            yield pa.record_batch([b.column("doc_id"), b.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in nodes], pa.int64()),
                                    pa.array([x for _, x in nodes], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
-                                  names=["doc_id", "n", "node", "node2", "sketch"])
+                                  names=["doc_id", "h", "n", "node", "node2", "sketch"])
 
-    return map_batches(rows, run, "doc_id long, n long, node long, node2 long, sketch binary", arrow=True)
+    return map_batches(rows, run, "doc_id long, h long, n long, node long, node2 long, sketch binary", arrow=True)
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -237,30 +237,29 @@ def possible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(rep_a, rep_b) of the pairs (a, b) of nodes that are similar. texts: (node, rep, t)."""
-    one = texts.select(F.col("node").alias("a"), F.col("rep").alias("rep_a"), F.col("t").alias("t_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("rep").alias("rep_b"), F.col("t").alias("t_b"))
+    """The pairs (a, b) of nodes that are similar. texts: (node, t)."""
+    one = texts.select(F.col("node").alias("a"), F.col("t").alias("t_a"))
+    two = texts.select(F.col("node").alias("b"), F.col("t").alias("t_b"))
     both = pairs.join(one, "a").join(two, "b").sortWithinPartitions("b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, set_b = None, None
         for batch in batches:
             keep = []
-            for t_a, b, t_b in zip(*[batch.column(c).to_pylist() for c in ("t_a", "rep_b", "t_b")], strict=True):
+            for t_a, b, t_b in zip(*[batch.column(c).to_pylist() for c in ("t_a", "b", "t_b")], strict=True):
                 if last != b:
                     last, set_b = b, shingles(t_b)
                 set_a = shingles(t_a)
                 inter = len(np.intersect1d(set_a, set_b, assume_unique=True))
                 keep.append(100 * inter >= 75 * (len(set_a) + len(set_b) - inter))
-            yield pa.RecordBatch.from_arrays([batch.column("rep_a"), batch.column("rep_b")], names=["rep_a", "rep_b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(both.select("rep_a", "t_a", "rep_b", "t_b"), run, "rep_a long, rep_b long", arrow=True)
+    return map_batches(both.select("a", "t_a", "b", "t_b"), run, "a long, b long", arrow=True)
 
 
 def unresolved(m: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
     """(node, component) of the members of buckets with several components."""
-    component = reps.join(groups, reps["rep"] == groups["node"], "left").select(
-        reps["node"], F.coalesce("group_id", "rep").alias("component"))
+    component = reps.join(groups, "node", "left").select("node", F.coalesce("group_id", "node").alias("component"))
     placed = m.join(component, "node")
     several = placed.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     return placed.join(several.select("sig"), "sig", "left_semi").select("node", "component").distinct()
@@ -332,10 +331,10 @@ def link_counts(texts: DataFrame, groups: DataFrame) -> DataFrame:
     by hash and every pair of blocks is one unit of work, dealt over all tasks:
     a component of any size spreads, and each pair of sets meets once. Sizes and
     sketches tell most unlike pairs apart, the others are compared exactly; only
-    counts leave a task. texts: (node, rep, t); groups: (node, group_id) of reps.
+    counts leave a task. texts: (node, t); groups: (node, group_id).
     """
     sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("g"))
-    blocks = groups.join(sizes, "group_id").select(F.col("node").alias("rep"), F.col("group_id").alias("component"),
+    blocks = groups.join(sizes, "group_id").select("node", F.col("group_id").alias("component"),
                                                    F.ceil(F.col("g") / BLOCK).cast("int").alias("blocks"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,7 +343,7 @@ def link_counts(texts: DataFrame, groups: DataFrame) -> DataFrame:
             yield pa.record_batch([*b.columns[:-1], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([sketch(x) for x in s], pa.binary())],
                                   names=[*b.schema.names[:-1], "s", "sketch"])
 
-    members = texts.join(blocks, "rep").select("component", "blocks", "node", "t")
+    members = texts.join(blocks, "node").select("component", "blocks", "node", "t")
     members = map_batches(members, sets, "component long, blocks int, node long, s binary, sketch binary", arrow=True)
     members = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -395,7 +394,7 @@ def link_counts(texts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, n_links.
+    """One row per input row: doc_id, n_shingles, component_id, n_links, text_hash, leads.
 
     Words are runs of visible characters, A-Z lower-cased; sets are distinct
     5-word shingles (the whole text if it has fewer words); links hold from a
@@ -403,30 +402,41 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     row's set is similar to; equal sets count once, copies of it not at all. It is
     worked out when read, and not at all by a query that leaves it out. Null and empty texts have
     no shingles and link with nothing. Repeated rows and equal texts are one
-    component; a null doc_id names no component but may belong to one. Other
+    component; a null doc_id names no component but may belong to one, and
+    one of null ids alone has no name. Ids may repeat with several texts, each of
+    which stands for itself. ``leads`` marks the one (doc_id, text_hash) that a component
+    is kept by: its smallest id, null last, then hash; a row without shingles leads itself. Other
     columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
+    rows = rows.withColumn("h", F.xxhash64("t"))
     all_docs = written(digests(rows), "shingle-digests")
     m = written(buckets(rows), "signature-buckets")
     release(m)
-    reps = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    reps = written(reps.where("rep IS NOT NULL").join(m.select("node").distinct(), "node", "left_semi").drop("node2"), "representatives")
-    texts = written(rows.join(reps.select("node", F.col("rep").alias("doc_id")), "doc_id").dropDuplicates(["doc_id", "node"])
-                    .select("node", F.col("doc_id").alias("rep"), "t"), "candidate-texts")
+    # Of each set, the first of its rows: by id, null ids last, then by text.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "h")).alias("first")
+    reps = all_docs.where("n > 0").groupBy("node", "node2").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    reps = written(reps.join(m.select("node").distinct(), "node", "left_semi").drop("node2"), "representatives")
+    theirs = reps.select("node", F.col("first.id").alias("id"), F.col("first.h").alias("h"))
+    same = (rows["h"] == theirs["h"]) & rows["doc_id"].eqNullSafe(theirs["id"])
+    texts = written(rows.join(theirs, same).select("node", "t").dropDuplicates(["node"]), "candidate-texts")
     release(m)
     stars = written(possible(star_pairs(m), reps), "star-pairs")
     links = written(verified(stars, texts), "star-links")
     release(m)
-    groups = connected_groups(links, "rep_a", "rep_b")
+    groups = connected_groups(links, "a", "b")
     open_nodes = written(unresolved(m, reps, groups), "open-nodes")
     release(m)
     more = written(possible(prefix_pairs(open_nodes, texts), reps), "prefix-pairs")
     release(m)
-    links = written(links.unionByName(verified(more, texts)).where("rep_a != rep_b").distinct(), "links")
+    links = written(links.unionByName(verified(more, texts)).where("a != b").distinct(), "links")
     release(m)
-    groups = connected_groups(links, "rep_a", "rep_b")
-    named = all_docs.where("n > 0").groupBy("node", "node2").agg(F.min("doc_id").alias("rep")).join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+    groups = connected_groups(links, "a", "b")
+    named = all_docs.where("n > 0").groupBy("node", "node2").agg(first).join(groups, "node", "left").withColumn("group_id", F.coalesce("group_id", "node"))
+    leading = named.groupBy("group_id").agg(F.min("first").alias("lead"))
+    named = named.join(leading, "group_id").select("node", "node2", "lead")
     out = all_docs.join(named, ["node", "node2"], "left").join(link_counts(texts, groups), "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("group_id", "rep", "doc_id").alias("component_id"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    leads = F.col("doc_id").eqNullSafe(F.col("lead.id")) & (F.col("h") == F.col("lead.h"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lead.id", "doc_id").alias("component_id"),
+                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("h").alias("text_hash"),
+                      F.when(F.col("n") > 0, leads).otherwise(True).alias("leads"))
