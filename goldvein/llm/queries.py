@@ -13,10 +13,13 @@ from goldvein.llm.common import read_table
 from goldvein.llm.exact_dedup import exact_dedup
 from goldvein.llm.html_extract import extract_main_text
 from goldvein.llm.jaccard_join import jaccard_components
+from goldvein.llm.lexical_search import lexical_search
 from goldvein.llm.packing import pack_documents
+from goldvein.llm.periodic_runs import periodic_runs
 from goldvein.llm.quality_classifier import quality_scores
 from goldvein.llm.quality_rules import quality_rules
 from goldvein.llm.suffix_dedup import repeated_passages
+from goldvein.llm.token_counts import token_counts
 from goldvein.llm.toxicity import toxicity_scores
 
 QUERIES, ORACLE = {}, {}
@@ -184,3 +187,54 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(read_table(spark, sf_dir, "documents"), repeat_tenth=True)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    # Runs come by start and period, so of equal exponents the first stays.
+    best = F.aggregate("runs", none, lambda a, r: F.when(
+        a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"]), r).otherwise(a))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = r"""
+WITH terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY ALL),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term, n_docs),
+scored AS (
+    SELECT item_id, doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN lengths USING (doc_id), corpus
+    GROUP BY item_id, doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
