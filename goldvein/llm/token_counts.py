@@ -40,9 +40,9 @@ BLOCK_CHARS = 8 << 20
 #: Characters of one text that are cut into pre-tokens at a time.
 PART = 1 << 20
 #: Slices per shuffle partition, so that partitions are of even size.
-SLICES = 8
+SLICES = 4
 
-BLOCK = ("block long, doc_ids array<long>, n_bytes array<long>, sizes array<int>, places binary, times binary, "
+BLOCK = ("block long, doc_ids array<long>, n_bytes array<long>, sizes array<int>, steps binary, times binary, "
          "slices array<struct<slice: int, lengths: binary, tokens: binary>>")
 
 
@@ -76,6 +76,28 @@ def pre_tokens(text: str) -> Counter:
     return out
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**31, byte by byte of each, compressed."""
+    planes = np.ascontiguousarray(numbers, np.int32).view(np.uint8).reshape(-1, 4).T
+    return len(numbers).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], 4 * n, asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel().astype(np.int64)
+
+
+def joined(tokens: list[bytes]) -> bytes:
+    return pa.Codec("zstd").compress(b"".join(tokens), asbytes=True)
+
+
+def split(lengths: np.ndarray, data: bytes) -> list[bytes]:
+    ends = np.cumsum(lengths).tolist()
+    text = pa.Codec("zstd").decompress(data, ends[-1], asbytes=True) if ends else b""
+    return [text[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+
+
 def load_model(content: bytes):
     import sentencepiece
 
@@ -113,28 +135,33 @@ class Block:
         self.chars += len(text)
 
     def row(self, block: int, slices: int) -> dict:
-        """The block with its pre-tokens in order of slices; places follow that order."""
+        """The block with its pre-tokens by slice, then alphabet; places are in
+        that order, and each document's are kept as differences."""
         coded = [t.encode() for t in self.vocabulary]
         part = np.fromiter((zlib.crc32(t) % slices for t in coded), np.int32, len(coded))
         order = np.argsort(part, kind="stable")
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order), dtype=np.int32)
-        out, cuts = [], np.flatnonzero(np.diff(part[order])) + 1
-        for own in np.split(order, cuts) if len(order) else []:
-            mine = [coded[i] for i in own]
-            out.append({"slice": int(part[own[0]]), "lengths": np.array([*map(len, mine)], np.int32).tobytes(),
-                        "tokens": b"".join(mine)})
-        places = np.concatenate(self.places) if self.places else np.zeros(0, np.int32)
+        number, out, at = np.empty(len(order), np.int64), [], 0
+        for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+            mine = sorted((coded[i], i) for i in own.tolist())
+            number[[i for _, i in mine]] = np.arange(at, at + len(mine))
+            at += len(mine)
+            out.append({"slice": int(part[own[0]]), "lengths": packed(np.array([len(t) for t, _ in mine])),
+                        "tokens": joined([t for t, _ in mine])})
+        steps, times = [], []
+        for places, n in zip(self.places, self.times, strict=True):
+            mine = number[places]
+            by = np.argsort(mine)
+            steps.append(np.diff(mine[by], prepend=0))
+            times.append(n[by])
         return {"block": block, "doc_ids": self.doc_ids, "n_bytes": self.n_bytes, "sizes": self.sizes,
-                "places": place[places].tobytes() if len(place) else b"",
-                "times": np.concatenate(self.times).tobytes() if self.times else b"", "slices": out}
+                "steps": packed(np.concatenate(steps)), "times": packed(np.concatenate(times)), "slices": out}
 
 
 def blocks_of(docs: DataFrame, slices: int, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """docs: (doc_id, n_bytes, t) -> one row per block, as ``BLOCK`` has it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())),
-                            ("sizes", pa.list_(pa.int32())), ("places", pa.binary()), ("times", pa.binary()),
+                            ("sizes", pa.list_(pa.int32())), ("steps", pa.binary()), ("times", pa.binary()),
                             ("slices", pa.list_(pa.struct([("slice", pa.int32()), ("lengths", pa.binary()), ("tokens", pa.binary())])))])
         number, block = TaskContext.get().partitionId() << 32, Block()
         for b in batches:
@@ -160,30 +187,31 @@ def slice_counts(sliced: DataFrame, model) -> DataFrame:
             for part, lengths, tokens in zip(*(b.column(c).to_pylist() for c in ("slice", "lengths", "tokens")), strict=True):
                 if part != current:
                     known, current = {}, part
-                ends = np.cumsum(np.frombuffer(lengths, np.int32)).tolist()
-                mine = [tokens[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+                mine = split(unpacked(lengths), tokens)
                 fresh = [t for t in mine if t not in known]
                 known.update(zip(fresh, n_pieces(sp, [t.decode() for t in fresh]), strict=True))
-                counts.append(np.array([known[t] for t in mine], np.int32).tobytes())
+                counts.append(packed(np.array([known[t] for t in mine])))
             yield pa.record_batch([b.column("block"), b.column("slice"), pa.array(counts, pa.binary())], names=["block", "slice", "counts"])
 
     return sliced.mapInArrow(run, "block long, slice int, counts binary")
 
 
-def summed(joined: DataFrame) -> DataFrame:
+def summed(found: DataFrame) -> DataFrame:
     """Blocks with their counts -> (doc_id, n_bytes, n_tokens)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                counts = b"".join(c["counts"] for c in sorted(row["counts"] or [], key=lambda c: c["slice"]))
-                n = np.frombuffer(counts, np.int32).astype(np.int64)
-                each = n[np.frombuffer(row["places"], np.int32)] * np.frombuffer(row["times"], np.int32)
-                sums, ends = np.concatenate([[0], np.cumsum(each)]), np.cumsum(row["sizes"])
-                totals = sums[ends] - sums[ends - np.array(row["sizes"], np.int64)]
+                counts = [unpacked(c["counts"]) for c in sorted(row["counts"] or [], key=lambda c: c["slice"])]
+                sizes, steps = np.array(row["sizes"], np.int64), np.cumsum(unpacked(row["steps"]))
+                ends = np.cumsum(sizes)
+                places = steps - np.repeat(np.concatenate([[0], steps])[ends - sizes], sizes)
+                each = np.concatenate([*counts, np.zeros(0, np.int64)])[places] * unpacked(row["times"])
+                sums = np.concatenate([[0], np.cumsum(each)])
+                totals = sums[ends] - sums[ends - sizes]
                 yield pa.record_batch([pa.array(row["doc_ids"], pa.int64()), pa.array(row["n_bytes"], pa.int64()), pa.array(totals, pa.int64())],
                                       names=["doc_id", "n_bytes", "n_tokens"])
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+    return found.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
 
 
 def token_counts(docs: DataFrame, model_file: str, limit: int = 4096, text: str = "text", doc_id: str = "doc_id",
