@@ -182,22 +182,29 @@ def merge_audit(groups: DataFrame, user: str, role: str, event_time: Column) ->
         F.lit(user).alias("user_name"), F.lit(role).alias("role_name"), event_time.alias("event_time"))
 
 
+def rededuplicated(target: DataFrame, scored_batch: DataFrame, as_of: Column) -> DataFrame:
+    """The e-mail groups that the batch touches, resolved over their target rows
+    plus the batch rows. A golden id, once assigned to an e-mail, is kept."""
+    old = target.join(scored_batch.select("email").distinct(), "email", "left_semi")
+    fresh = golden_records(scored_batch.unionByName(old.select(*scored_batch.columns)), as_of)
+    ids = old.groupBy("email").agg(F.min("mdm_golden_id").alias("_old_gid"))
+    return (fresh.join(ids, "email", "left")
+            .withColumn("mdm_golden_id", F.coalesce(F.col("_old_gid"), F.col("mdm_golden_id")))
+            .drop("_old_gid").select(*fresh.columns))
+
+
+def replace_emails(target: DataFrame, fresh: DataFrame, scored_batch: DataFrame) -> DataFrame:
+    """The target with the rows of the batch's e-mails replaced by ``fresh``."""
+    keep = target.join(scored_batch.select("email").distinct(), "email", "left_anti")
+    return keep.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
+
+
 def rededuplicate(target: DataFrame, scored_batch: DataFrame, as_of: Column) -> DataFrame:
     """Batch resolution that also sees the target (fixes the batch-only
     dedup of the default merge): every e-mail group touched by the batch is
     re-resolved over its target rows plus the batch rows, and replaces its
-    old rows; untouched groups stay. A golden id, once assigned to an
-    e-mail, is kept (stable ids)."""
-    touched = scored_batch.select("email").distinct()
-    old = target.join(touched, "email", "left_semi")
-    keep = target.join(touched, "email", "left_anti")
-    pool = scored_batch.unionByName(old.select(*scored_batch.columns))
-    fresh = golden_records(pool, as_of)
-    ids = old.groupBy("email").agg(F.min("mdm_golden_id").alias("_old_gid"))
-    fresh = (fresh.join(ids, "email", "left")
-             .withColumn("mdm_golden_id", F.coalesce(F.col("_old_gid"), F.col("mdm_golden_id")))
-             .drop("_old_gid"))
-    return keep.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
+    old rows; untouched groups stay, golden ids are stable."""
+    return replace_emails(target, rededuplicated(target, scored_batch, as_of), scored_batch)
 
 
 def review_queue(ranked_duplicates: DataFrame, tiered_pairs: DataFrame) -> DataFrame:

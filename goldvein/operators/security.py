@@ -11,9 +11,10 @@ from goldvein.functions.masks import ALL_ROWS_ROLES, AccessContext, mask_email,
 
 Mask = Callable[[Column, str], Column]
 
-# Table -> column -> mask. Masks are bound to the silver contact table.
+# Table -> column -> mask. The fact carries the contacts' e-mail, and has a policy of its own.
 POLICIES: dict[str, dict[str, Mask]] = {
     "silver.contacts": {"email": mask_email, "phone": mask_phone},
+    "gold.fact_events": {"email": mask_email},
 }
 
 

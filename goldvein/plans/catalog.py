@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldvein.operators import gold, mdm
+from goldvein.operators import gold, mdm, merges
 from goldvein.operators.features import engagement_features, with_rfm_segment
 from goldvein.session import cut_to_table, scratch_path
 from goldvein.sources import fixtures as fx
@@ -312,6 +312,19 @@ def q_audit_log(spark, d):
     return a.select("table_name", "action", "row_count", "user_name", "role_name", "event_time")
 
 
+@register("audit_ids")
+def q_audit_ids(spark, d):
+    """Refresh audit rows of the three bronze scans, with the number
+    of different ids over all of them and the ids' length."""
+    scans = {"bronze.crm": C.crm_scan(fx.crm_contacts(spark, d)), "bronze.marketing": C.marketing_scan(fx.marketing_subscribers(spark, d)),
+             "bronze.events": C.events_scan(fx.event_registrations(spark, d), as_of())}
+    parts = [refresh_audit(df, name, "etl@x", "ROLE_DATA_ENGINEER", as_of()) for name, df in scans.items()]
+    rows = cut_to_table(parts[0].unionByName(parts[1]).unionByName(parts[2]), "audit")
+    ids = rows.agg(F.countDistinct("log_id").alias("n"))
+    return rows.groupBy("table_name").agg(F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("audit_rows"),
+                                          F.max(F.length("log_id")).alias("id_length")).withColumn("distinct_ids", ids.scalar())
+
+
 # ---------------------------------------------------------------- incremental
 
 from goldvein.operators.incremental import incremental_scan, merge_upsert  # noqa: E402
@@ -344,6 +357,19 @@ def q_merge_upsert(spark, d):
     return merge_upsert(target, src)
 
 
+@register("merge_buckets")
+def q_merge_buckets(spark, d):
+    """The same merge into a table laid out in hash buckets of the
+    key, of which only those that the batch touches are written again."""
+    from goldvein.sources import buckets
+    b, target = _batches(spark, d)
+    src = mdm.golden_records(mdm.quality_scored(mdm.standardize(incremental_scan(b, target))), as_of())
+    root = scratch_path(spark, "buckets")
+    layout = buckets.write_buckets(target, f"{root}/v1", "contact_key")
+    layout = buckets.merge_buckets(spark, layout, src.withColumn("lead_source", F.lower("source_system")), f"{root}/v2")
+    return buckets.read_buckets(spark, layout)
+
+
 @register("table_round_trip")
 def q_table_round_trip(spark, d):
     """Bronze written partitioned by ingestion date to
@@ -378,10 +404,9 @@ def q_match_tiers(spark, d):
 
 @register("merged_groups")
 def q_merged_groups(spark, d):
-    """Connected groups of HIGH pairs (one golden id per group). The
-    search runs at the HIGH bound itself (similarity >= 0.95)."""
-    p = potential_duplicates(golden(spark, d), threshold=mdm.TIER_HIGH, sort=False, inclusive=True)
-    return mdm.auto_merge_groups(mdm.with_match_tier(p))
+    """Connected groups of HIGH pairs (one golden id per group), from one
+    edge per contact and similar pair of strings."""
+    return merges.merge_groups(golden(spark, d))
 
 
 # ---------------------------------------------------------------- enrichment
@@ -484,24 +509,34 @@ def q_secure_contacts(spark, d):
 @register("secure_facts")
 def q_secure_facts(spark, d):
     """The fact as analyst b@x reads it: rows of the granted brands, e-mail masked."""
-    f = secure(fact(spark, d), AccessContext("b@x", ANALYST), "silver.contacts", fx.brand_grants(spark, d), "brand_id")
+    f = secure(fact(spark, d), AccessContext("b@x", ANALYST), "gold.fact_events", fx.brand_grants(spark, d), "brand_id")
     return f.select("fact_key", "event_id", "brand_id", "email", "rfm_segment")
 
 
 @register("merge_audit")
 def q_merge_audit(spark, d):
     """Audit row of merging the connected groups of HIGH pairs."""
-    p = potential_duplicates(golden(spark, d), threshold=mdm.TIER_HIGH, sort=False, inclusive=True)
-    groups = mdm.auto_merge_groups(mdm.with_match_tier(p))
-    return mdm.merge_audit(groups, "etl@x", "ROLE_DATA_ENGINEER", as_of())
+    return mdm.merge_audit(merges.merge_groups(golden(spark, d)), "etl@x", "ROLE_DATA_ENGINEER", as_of())
 
 
 @register("merged_contacts")
 def q_merged_contacts(spark, d):
     """Every golden contact with the id it is merged under."""
     g = cut_to_table(golden(spark, d), "golden")
-    p = potential_duplicates(g, threshold=mdm.TIER_HIGH, sort=False, inclusive=True)
-    return mdm.merged_contacts(g, mdm.auto_merge_groups(mdm.with_match_tier(p))).select("contact_key", "email", "merged_id")
+    return mdm.merged_contacts(g, merges.merge_groups(g)).select("contact_key", "email", "merged_id")
+
+
+@register("merged_in_runs")
+def q_merged_in_runs(spark, d):
+    """The stored groups after two runs, the second of which adds every
+    contact whose key ends in a digit: as if all had come at once."""
+    g = cut_to_table(golden(spark, d), "golden")
+    late = F.substring("contact_key", -1, 1).between("0", "9")
+    first = g.where(~late)
+    forest = cut_to_table(merges.forest_changes(None, merges.merge_edges(first)), "forest")
+    grown = merges.forest_changes(forest, merges.merge_edges(g, fresh=g.where(late).select("contact_key")))
+    both = merge_upsert(forest, grown, "node", ("group_id",))
+    return both.select(F.col("node").alias("contact_key"), "group_id")
 
 
 @register("dictionary_rules")
