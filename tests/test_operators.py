@@ -376,15 +376,43 @@ def test_pii_flags_select_masks(spark):
     assert uniques == [["contact_key"], ["email"]] and any(x.kind == "valid_email" for x in rules)
 
 
-def test_similar_vectors_exact_at_every_threshold(spark):
-    from goldvein.operators.vector_pairs import similar_vectors
+@pytest.mark.parametrize("block, bunch", [(512, 16 << 20), (7, 40 * 6 * 8), (1, 6 * 8 * 8)])
+def test_similar_vectors_exact_at_every_threshold(spark, monkeypatch, block, bunch):
+    from goldvein.operators import vector_pairs
+    monkeypatch.setattr(vector_pairs, "BLOCK_ROWS", block)
+    monkeypatch.setattr(vector_pairs, "BUNCH_BYTES", bunch)
     rng = random.Random(21)
-    rows = [(i, [rng.gauss(0, 1) + 3 * (j == i % 4) for j in range(6)]) for i in range(120)]
-    rows += [(200, None), (201, [0.0] * 6), (202, list(rows[0][1])), (203, [2 * x for x in rows[1][1]])]
-    df = spark.createDataFrame(rows, "id long, v array<float>")
+    rows = [(i, [rng.gauss(0, 1) + 3 * (j == i % 4) for j in range(6)]) for i in range(120 if block > 1 else 40)]
+    rows += [(200, None), (201, [0.0] * 6), (202, list(rows[0][1])), (203, [2 * x for x in rows[1][1]]), (204, [float("nan")] * 6)]
+    df = spark.createDataFrame(rows, "id long, v array<float>").repartition(3)
     norm = {i: sum(x * x for x in v) ** 0.5 for i, v in rows if v}
-    for t in (0.97, 0.8, 0.2):
-        got = {(r.id_a, r.id_b) for r in similar_vectors(df, "id", "v", t, pivots=7).collect()}
+    for t in (0.97, 0.2) if block > 1 else (0.9,):
+        got = [(r.id_a, r.id_b) for r in vector_pairs.similar_vectors(df, "id", "v", t).collect()]
         exp = {(a, b) for (a, u), (b, v) in itertools.combinations([r for r in rows if r[1]], 2)
                if norm[a] and norm[b] and sum(x * y for x, y in zip(u, v)) / norm[a] / norm[b] > t}
-        assert got == exp
+        assert set(got) == exp and len(got) == len(exp)
+
+
+def test_similar_vectors_edges(spark):
+    from goldvein.operators.vector_pairs import similar_vectors
+    none = spark.createDataFrame([], "id string, v array<double>")
+    assert similar_vectors(none, "id", "v", 0.5).count() == 0
+    assert similar_vectors(spark.createDataFrame([("a", [0.0]), ("b", None)], none.schema), "id", "v", 0.5).count() == 0
+    twins = spark.createDataFrame([("a", [1.0, 0.0]), ("a", [1.0, 0.0]), ("b", [2.0, 0.0]), (None, [1.0, 0.0])], none.schema)
+    assert sorted(map(tuple, similar_vectors(twins, "id", "v", 0.5).collect())) == [("a", "b", 1.0)] * 2
+    with pytest.raises(Exception, match="numbers"):
+        similar_vectors(spark.createDataFrame([("a", [1.0]), ("b", [1.0, 2.0])], none.schema), "id", "v", 0.5).collect()
+
+
+def test_balls_that_are_apart_hold_no_similar_vectors():
+    import numpy as np
+    from goldvein.operators.vector_pairs import apart, ball
+    rng, seen = np.random.default_rng(5), 0
+    for _ in range(400):
+        x, y = (rng.normal(size=4) + rng.uniform(0.05, 0.4) * rng.normal(size=(8, 4)) for _ in range(2))
+        x, y = (v / np.linalg.norm(v, axis=1)[:, None] for v in (x, y))
+        limit = rng.uniform(0.05, 1.0)
+        if apart(*ball(x), *ball(y), limit):
+            seen += 1
+            assert np.arccos(np.clip(x @ y.T, -1, 1)).min() > limit
+    assert seen > 20
