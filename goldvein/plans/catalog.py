@@ -496,6 +496,21 @@ def q_revenue_anomalies(spark, d):
                     F.round("std_value", 4).alias("std_revenue"), F.round("z_score", 6).alias("z_score"), "is_anomaly")
 
 
+@register("revenue_anomalies_in_runs")
+def q_revenue_anomalies_in_runs(spark, d):
+    """The same flags from moments kept per brand, to which
+    three runs each add the facts of their own dates only."""
+    from goldvein.operators.anomaly import flags_from_moments, merged_moments, moments
+    f = cut_to_table(fact(spark, d).select("fact_key", "event_date", "brand_id", F.col("revenue_amount").cast("double").alias("revenue_amount")), "fact")
+    state = None
+    for run in range(3):
+        new = moments(f.where(F.pmod(F.unix_date("event_date"), F.lit(3)) == run), "brand_id", "revenue_amount")
+        state = cut_to_table(merged_moments(state, new, "brand_id"), "moments")
+    a = flags_from_moments(f, state, "fact_key", "brand_id", "revenue_amount", as_of())
+    return a.select("fact_key", "brand_id", "revenue_amount", F.round("avg_value", 4).alias("avg_revenue"),
+                    F.round("std_value", 4).alias("std_revenue"), F.round("z_score", 6).alias("z_score"), "is_anomaly")
+
+
 @register("secure_contacts")
 def q_secure_contacts(spark, d):
     """The contact table as an analyst and as a steward read it, masks chosen by the PII flags."""
@@ -547,6 +562,21 @@ def q_dictionary_rules(spark, d):
     return Q.check_from_schema(g, "silver.contacts")
 
 
+@register("dictionary_run")
+def q_dictionary_run(spark, d):
+    """The dictionaries of contacts, fact, brands and bronze,
+    two passes per table."""
+    from goldvein.operators.dictionary import dictionary_run
+    b = cut_to_table(bronze(spark, d), "bronze")   # each table is read several times: written once
+    g = cut_to_table(mdm.golden_records(mdm.quality_scored(mdm.standardize(b)), as_of()), "golden")
+    brands = fx.silver_brands(spark, d)
+    f = gold.fact_events(fx.silver_events(spark, d, "crm"), g, brands, as_of())
+    # The fact's contact key is null for events without a contact: the event's own key is checked.
+    f = cut_to_table(f.drop("contact_key").join(
+        fx.silver_events(spark, d, "crm").select(F.col("event_id").alias("_e"), "contact_key"), F.col("event_id") == F.col("_e")).drop("_e"), "fact")
+    return dictionary_run({"silver.contacts": g, "gold.fact_events": f, "silver.brands": brands, "bronze.contacts": b}, as_of())
+
+
 @register("review_queue")
 def q_review_queue(spark, d):
     """L4: steward queue of rank > 1 records and MEDIUM pairs."""
