@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shipped(obj: object) -> bytes:
+    """An object with the code of its class, for a broadcast: Spark pickles
+    broadcast values by reference, which asks workers to have this package.
+    ``pickle.loads`` gives it back anywhere."""
+    return cloudpickle.dumps(obj)
+
+
 def worker_state(key: str, make: Callable[[], object]) -> object:
     """An object built once per Python worker process (a tokenizer, a memo)."""
     kept = sys.__dict__.setdefault("_goldvein_worker_state", {})

@@ -21,6 +21,7 @@ share of toxic documents.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldvein.llm.common import map_batches, written
+from goldvein.llm.common import map_batches, shipped, written
 from goldvein.llm.quality_classifier import fold, labels_of, summed
 from goldvein.llm.words import words_of
 
@@ -232,10 +233,10 @@ def known_features(sample: DataFrame) -> np.ndarray:
 
 def training_rows(sample: DataFrame, names: np.ndarray, voters: Voters) -> pd.DataFrame:
     """Of the bounded sample: y, votes, and ``at``, the places in names of the features shown (32-bit integers)."""
-    cast = sample.sparkSession.sparkContext.broadcast((names, voters))
+    cast = sample.sparkSession.sparkContext.broadcast(shipped((names, voters)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, vote = cast.value
+        known, vote = pickle.loads(cast.value)
         for b in batches:
             at, votes = [], []
             for t in b.column("t").to_pylist():
@@ -269,10 +270,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
     both = toxic > 0 and clean > 0
     none = np.zeros(0, np.uint64)
     voters = Voters(*[telling_terms(sample, c, toxic, clean) if both else none for c in ("words", "beginnings")])
-    cast = spark.sparkContext.broadcast(voters)
+    cast = spark.sparkContext.broadcast(shipped(voters))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = cast.value
+        v = pickle.loads(cast.value)
         for b in batches:
             yield pa.record_batch([b.column("doc_id"), pa.array([v(t) for t in b.column("t").to_pylist()], pa.int64())],
                                   names=["doc_id", "votes"])
@@ -299,10 +300,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
         net = Sparse(names, [np.frombuffer(x, np.int32) for x in got["at"]], given, weight)
         net.calibrate(y, weight)
         del net.scores
-    fitted = spark.sparkContext.broadcast((model, net))
+    fitted = spark.sparkContext.broadcast(shipped((model, net)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, (label_model, linear) = cast.value, fitted.value
+        v, (_, linear) = pickle.loads(cast.value), pickle.loads(fitted.value)
         for b in batches:
             texts = b.column("t").to_pylist()
             if linear is None:
