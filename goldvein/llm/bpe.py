@@ -17,10 +17,12 @@ character that is split over tokens is given out once it is whole.
 from __future__ import annotations
 
 import codecs
+import hashlib
 import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,10 @@ RARE_SPACE = "[\x0b\x0c\x85\xa0  -     　]"
 #: Characters held while no settled place is found; a longer piece is opened and streamed.
 HOLD = 1 << 14
 MEMO_ENTRIES = 400_000
+#: Characters of texts whose new stretches are merged together.
+LEARN = 1 << 20
+#: Value of a pair that doesn't merge, beyond all ranks.
+NEVER = 1 << 62
 
 
 def byte_names() -> dict[str, int]:
@@ -86,9 +92,14 @@ class Codec:
         for rank, (a, b, ab) in enumerate(merges):
             self.ranks.setdefault((a, b), (rank, ab))
         self.packed = {p: r << 24 | ab for p, (r, ab) in self.ranks.items()}
+        order = sorted(self.packed)
+        self.pair_keys = np.array([a << 32 | b for a, b in order], np.int64)
+        self.pair_packed = np.array([self.packed[p] for p in order], np.int64)
         self.lookahead = sufficient_lookahead(merges, {i: len(b) for i, b in raw.items()})
         self.specials = {t["content"]: t["id"] for t in j.get("added_tokens") or []}
         self.bytes_of = raw | {i: t.encode() for t, i in self.specials.items()}
+        self.decimals = {i: f",{i}".encode() for i in self.bytes_of}
+        self.raw = self.bytes_of
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
         self.pieces = regex.compile(PIECES)
         self.rare = regex.compile(RARE_SPACE)
@@ -99,6 +110,9 @@ class Codec:
         self.memo: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
         self.known: dict[str, list[int]] = {}
+        # The same stretches as (comma and decimal of each id, bytes of all ids).
+        self.coded_memo: dict[str, tuple[bytes, bytes]] = {}
+        self.coded_old: dict[str, tuple[bytes, bytes]] = {}
 
     def merge_short(self, data: bytes) -> list[int]:
         """As ``merge``, for few symbols: the list of possible merges is
@@ -152,6 +166,89 @@ class Codec:
                 self.memo[text] = ids
         return ids
 
+    def coded(self, ids: list[int] | tuple[int, ...]) -> tuple[bytes, bytes]:
+        """(comma and decimal of each id, bytes of all ids)."""
+        decimals, raw = self.decimals, self.raw
+        return b"".join([decimals[i] for i in ids]), b"".join([raw[i] for i in ids])
+
+    def coded_stretches(self, stretches: list[str]) -> list[tuple[bytes, bytes]]:
+        """``coded`` of stretches that no piece crosses; short ones are remembered."""
+        get = self.coded_memo.get
+        found = [get(x) for x in stretches]
+        if None not in found:
+            return found
+        fresh = {x: self.coded_old.get(x) for x, f in zip(stretches, found, strict=True) if f is None}
+        new = [x for x, f in fresh.items() if f is None]
+        fresh |= zip(new, self._first_seen(new), strict=True)
+        if len(self.coded_memo) >= MEMO_ENTRIES:
+            self.coded_old, self.coded_memo = self.coded_memo, {}
+        self.coded_memo |= {x: f for x, f in fresh.items() if len(x) < 64}
+        return [f or fresh[x] for x, f in zip(stretches, found, strict=True)]
+
+    def _first_seen(self, stretches: list[str]) -> list[tuple[bytes, bytes]]:
+        """Pieces of all stretches, those not known merged together."""
+        # Pieces don't cross from a visible character to white space: such stretches are cut in one go.
+        plain = [x for x in stretches if x[0].isspace() and not x[-1].isspace()]
+        cut = self.pieces.findall("".join(plain))
+        ends = np.cumsum([len(x) for x in plain])
+        upto = np.searchsorted(np.cumsum([len(p) for p in cut]), ends, side="right").tolist() if plain else []
+        pieces = dict(zip(plain, map(cut.__getitem__, map(slice, [0, *upto], upto)), strict=False))
+        for x in stretches:
+            if x not in pieces:
+                cut += pieces.setdefault(x, self.pieces.findall(x))
+        if len(self.known) >= MEMO_ENTRIES:
+            self.known.clear()
+        known = self.known
+        unknown = [p for p in set(cut) if len(p) < 64 and p not in known]
+        coded = [p.encode() for p in unknown]
+        short = [k for k, x in enumerate(coded) if len(x) <= 64]
+        known.update(zip([unknown[k] for k in short], self.merge_many([coded[k] for k in short]), strict=True))
+        return [self.coded([i for p in pieces[x] for i in known.get(p) or self.piece(p)]) for x in stretches]
+
+    def pair_values(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """rank << 24 | result of each pair, ``NEVER`` where it doesn't merge."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_packed[at], NEVER)
+
+    def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
+        """As ``merge`` of each piece: all pieces at once, a merge each per round."""
+        if not pieces:
+            return []
+        size = np.array([len(x) for x in pieces])
+        sym = np.array(self.start)[np.frombuffer(b"".join(pieces), np.uint8)]
+        word = np.repeat(np.arange(len(pieces)), size)
+        done: dict[int, list[int]] = {}
+        value = np.full(len(sym), NEVER)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        value[inner] = self.pair_values(sym[inner], sym[inner + 1])
+        while len(sym):
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(value, starts)
+            size = np.diff(starts, append=len(sym))
+            over = best == NEVER
+            if over.any():  # settled pieces leave
+                for k in np.flatnonzero(over):
+                    done[int(word[starts[k]])] = sym[starts[k]:starts[k] + size[k]].tolist()
+                stay = np.repeat(~over, size)
+                sym, word, value = sym[stay], word[stay], value[stay]
+                best, size = best[~over], size[~over]
+                if not len(sym):
+                    break
+            at = np.flatnonzero(value == np.repeat(best, size))
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]  # the leftmost of each piece
+            sym[at] = value[at] & 0xFFFFFF
+            keep = np.ones(len(sym), bool)
+            keep[at + 1] = False
+            sym, word, value = sym[keep], word[keep], value[keep]
+            at -= np.arange(len(at))
+            # New neighbours: of the merged symbol to the right, and of the one left of it.
+            for p in (at, at[at > 0] - 1):
+                p = p[p + 1 < len(sym)]
+                value[p] = np.where(word[p] == word[p + 1], self.pair_values(sym[p], sym[p + 1]), NEVER)
+            value[-1] = NEVER
+        return [done[k] for k in range(len(pieces))]
+
     def piece(self, text: str) -> list[int]:
         if (ids := self.known.get(text)) is not None:
             return ids
@@ -195,15 +292,48 @@ class PieceStream:
         return out
 
 
+class Digest:
+    """A sink of ids that keeps their number, the SHA-256 of their decimals
+    joined by commas and that of the text they decode to: both are fed as ids
+    come in, and the bytes of ids run through an incremental UTF-8 decoder."""
+
+    def __init__(self, codec: Codec):
+        self.codec, self.n = codec, 0
+        self.ids, self.text = hashlib.sha256(), hashlib.sha256()
+        self.state = codecs.getincrementaldecoder("utf-8")("replace")
+
+    def add(self, decimals: bytes, raw: bytes) -> None:
+        if decimals:
+            self.ids.update(decimals if self.n else decimals[1:])
+            self.n += decimals.count(b",")
+            self.text.update(self.state.decode(raw).encode())
+
+    def add_stretches(self, stretches: list[str]) -> None:
+        found = self.codec.coded_stretches(stretches)
+        self.add(b"".join([x for x, _ in found]), b"".join([x for _, x in found]))
+
+    def __iadd__(self, ids: list[int]) -> Digest:
+        self.add(*self.codec.coded(ids))
+        return self
+
+    def append(self, token: int) -> None:
+        self += [token]
+
+    def result(self) -> tuple[int, str, str]:
+        self.text.update(self.state.decode(b"", True).encode())
+        return self.n, self.ids.hexdigest(), self.text.hexdigest()
+
+
 class StreamEncoder:
-    """feed(text part) -> settled ids; finish() -> the rest."""
+    """feed(text part) -> settled ids; finish() -> the rest. With a sink (what
+    has ``append`` and ``+=`` as a list has), they go there."""
 
     def __init__(self, codec: Codec):
         self.codec, self.buf = codec, ""
         self.open: tuple | None = None  # a long piece: (its run pattern, its PieceStream)
 
-    def feed(self, text: str) -> list[int]:
-        out: list[int] = []
+    def feed(self, text: str, out: list[int] | Digest | None = None) -> list[int] | Digest:
+        out = [] if out is None else out
         self.buf += text
         c = self.codec
         while c.special and (m := c.special.search(self.buf)):
@@ -217,12 +347,12 @@ class StreamEncoder:
         self.buf += tail
         return out
 
-    def finish(self) -> list[int]:
-        out: list[int] = []
+    def finish(self, out: list[int] | Digest | None = None) -> list[int] | Digest:
+        out = [] if out is None else out
         self._drain(out, final=True)
         return out
 
-    def _drain(self, out: list[int], final: bool) -> None:
+    def _drain(self, out: list[int] | Digest, final: bool) -> None:
         c = self.codec
         while True:
             if self.open:
@@ -244,6 +374,8 @@ class StreamEncoder:
                 if c.rare.search(part):
                     for p in c.pieces.findall(part):
                         out += c.piece(p)
+                elif isinstance(out, Digest):
+                    out.add_stretches(c.chunks.findall(part))
                 else:
                     memo = c.memo
                     for x in c.chunks.findall(part):
@@ -309,6 +441,72 @@ def decode_ids(codec: Codec, ids: list[int], part: int = 1 << 16) -> str:
     return "".join([*(dec.feed(ids[at:at + part]) for at in range(0, len(ids), part)), dec.finish()])
 
 
+def digest_text(codec: Codec, text: str, part: int = 1 << 16) -> tuple[int, str, str]:
+    """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text), in
+    memory that doesn't grow with the text."""
+    enc, out = StreamEncoder(codec), Digest(codec)
+    for at in range(0, len(text), part):
+        enc.feed(text[at:at + part], out)
+    enc.finish(out)
+    return out.result()
+
+
+def text_groups(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in lists of some ``LEARN`` characters."""
+    group, chars = [], 0
+    for t in column:
+        group.append(t.as_py())
+        chars += len(group[-1])
+        if chars >= LEARN:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
+def digest_texts(codec: Codec, texts: list[str]) -> list[tuple[int, str, str]]:
+    """``digest_text`` of each. A text that is one settled part of the stream, as
+    it has neither special strings nor rare white space and is short, is cut
+    into stretches here; those that all of them show for the first time are
+    merged together."""
+    cut = [codec.chunks.findall(t) if len(t) < HOLD and not codec.rare.search(t) and not (codec.special and codec.special.search(t)) else None
+           for t in texts]
+    memo = codec.coded_memo
+    codec.coded_stretches(list({x for own in cut if own for x in own if x not in memo}))
+    out = []
+    for t, own in zip(texts, cut, strict=True):
+        if own is None:
+            out.append(digest_text(codec, t))
+        else:
+            d = Digest(codec)
+            d.add_stretches(own)
+            out.append(d.result())
+    return out
+
+
+def bpe_digests(docs: DataFrame, tokenizer_file: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per input row: doc_id, n_tokens, ids_sha256 (decimal ids joined
+    by commas), decoded_sha256 (UTF-8 of the decoded text).
+
+    As ``bpe_round_trip``, whose ids and texts these are of, but ids and decoded
+    text are only fed to the hashes while they stream, never held or sent.
+    """
+    with open(tokenizer_file, encoding="utf-8") as f:
+        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(spec.value)
+        for b in batches:
+            found = [x for texts in text_groups(b.column("t")) for x in digest_texts(codec, texts)]
+            n, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                                  names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                       F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def bpe_round_trip(docs: DataFrame, tokenizer_file: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, ids (array<int>), decoded (string).
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldvein.llm.bpe import bpe_round_trip
+from goldvein.llm.bpe import bpe_digests
 from goldvein.llm.chat_format import rotate_perspectives
 from goldvein.llm.common import read_table
 from goldvein.llm.exact_dedup import exact_dedup
@@ -182,11 +182,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe_round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 @query

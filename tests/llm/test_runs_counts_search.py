@@ -3,14 +3,19 @@ their edge rows."""
 
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from goldvein.llm import bpe
 from goldvein.llm import lexical_search as ls
 from goldvein.llm import periodic_runs as pr
 from goldvein.llm import token_counts as tc
@@ -284,6 +289,65 @@ def test_rounded_down_scores():
     assert (y <= x).all() and (y >= x - x // 256).all()
 
 
+# ---------------------------------------------------------------- byte-pair digests, shipped objects
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return bpe.Codec(f.read())
+
+
+def sha(t):
+    return hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_digests_equal_the_library(spark, codec, tmp_path):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    tok.no_truncation()
+    tok.no_padding()
+    r = random.Random(12)
+    parts = ["a", " ", "  ", "\n", "'s", "é", "日本", "1", "!", "<|endoftext|>", "<|endof", "\xa0", "\x0b", "the", "🙂", "\r\n", "xyz" * 30]
+    texts = ["".join(r.choices(parts, k=r.randint(0, 60))) for _ in range(300)] + ["a" * 60_000, " " * 40_000 + "x", LONG, "theing" * 9_000]
+
+    def want(t):
+        ids = tok.encode(t, add_special_tokens=False).ids
+        return len(ids), sha(",".join(map(str, ids))), sha(tok.decode(ids, skip_special_tokens=False))
+    expected = [want(t) for t in texts]
+    assert bpe.digest_texts(codec, texts) == expected
+    for t, e in zip(texts, expected, strict=True):
+        if len(t) < 100:
+            assert bpe.digest_text(codec, t, 3) == e
+    rows = EDGE + [(100 + i, t) for i, t in enumerate(texts)]
+    found = QUERIES["op10_bpe_round_trip"](spark, tables(spark, tmp_path / "d", documents=docs(spark, rows).repartition(3))).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(((d, *want(t or "")) for d, t in rows), key=repr)
+
+
+def test_pieces_merged_together_are_those_merged_alone(codec):
+    r = random.Random(13)
+    pieces = [bytes(r.choices(b" etaoinshrdlu\xc3\xa9", k=r.randint(1, 64))) for _ in range(500)]
+    assert codec.merge_many(pieces) == [codec.merge(p) for p in pieces] and codec.merge_many([]) == []
+
+
+def test_a_long_text_is_hashed_in_bounded_memory(codec):
+    text = "etaoin shrdlu the of and " * 400_000
+    bpe.digest_text(codec, text[:100_000])
+    tracemalloc.start()
+    n, _, decoded = bpe.digest_text(codec, text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 10**6 and decoded == sha(text) and peak < 20 << 20
+
+
+def test_shipped_objects_load_without_the_package(tmp_path):
+    from goldvein.llm import toxicity
+    from goldvein.llm.common import shipped
+    voters = toxicity.Voters(np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    code = "import pickle, sys; v = pickle.loads(sys.stdin.buffer.read()); v('some text'); assert 'goldvein' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], input=shipped(voters), cwd=tmp_path, env=env, check=True)
+
+
 # ---------------------------------------------------------------- SQL of the subpackage
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
