@@ -41,8 +41,10 @@ from goldvein.operators.mdm import connected_groups
 ORDER_SAMPLE, COMMON = 2000, 0.005
 #: Bits that a shingle's place in the order takes beside its set's size.
 PLACES = 24
-#: Cells of the sketch that most unlike pairs are told apart by.
+#: Cells of the first sketch that unlike pairs are told apart by; the second has one or two per element.
 CELLS = 256
+#: Bytes of text that are cut into shingles at once.
+CHUNK = 1 << 20
 #: Sets of a component that one block has on average; links are counted by pairs of blocks.
 BLOCK = 256
 
@@ -55,6 +57,41 @@ def shingles(text: str, n: int = 5) -> np.ndarray:
     return np.unique(windows(h, min(n, len(h))))
 
 
+def shingle_sets(texts: list[str], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of each of several texts, one after another, and the places
+    where each one's begin and the last one's end."""
+    raw = [t.encode() for t in texts]
+    starts, _, h = words_of(b"\n".join(raw))[:3]
+    edges = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])]))
+    values, kept = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
+    if len(h) >= n:
+        values[:len(h) - n + 1] = windows(h, n)
+    for a, b in itertools.pairwise(edges.tolist()):
+        if b - a >= n:
+            kept[a:b - n + 1] = True
+            values[a:b - n + 1].sort()
+        elif b > a:
+            kept[a] = True
+            values[a] = windows(h[a:b], b - a)[0]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    fresh[edges[:-1][np.diff(edges) > 0]] = True
+    kept &= fresh
+    return values[kept], np.concatenate([[0], np.cumsum(kept)])[edges]
+
+
+def chunks(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(place of the first text, shingle sets) of consecutive texts of about CHUNK characters."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= CHUNK):
+            size += len(texts[end])
+            end += 1
+        yield at, *shingle_sets(texts[at:end])
+        at = end
+
+
 class PartEnum:
     """Signatures for Jaccard similarity of at least num / den."""
 
@@ -81,70 +118,114 @@ class PartEnum:
         return groups, 3 if spoil else 1, 2 if spoil else 1, groups - bad
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
-        """s: distinct hashes. Signatures under the set's own band and the one
-        below; a set with too many empty subsets also gets the band's common one."""
-        out = []
-        own = self.band(len(s))
-        for b in {own, max(0, own - 1)}:
+        """Signatures of one set of distinct hashes."""
+        return self.of_sets(s, np.array([0, len(s)]))[0]
+
+    def of_sets(self, s: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(signatures, number of the set) of sorted sets one after another: under
+        each set's own band and the one below; a set with too many empty subsets
+        also gets the band's common one. Empty sets have none."""
+        sigs, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        sizes = np.diff(bounds)
+        own = np.array([self.band(int(n)) for n in sizes], np.int64)
+        weight = (s >> np.uint64(11)).astype(np.float64) + 1.0
+        for b in np.unique(np.concatenate([own, np.maximum(own - 1, 0)])[np.tile(sizes > 0, 2)]).tolist():
+            some = np.flatnonzero((sizes > 0) & ((own == b) | (np.maximum(own - 1, 0) == b)))
             groups, parts, chosen, good = self.plan(b)
             cells = groups * parts
-            cell = (s % np.uint64(cells)).astype(np.int64)
-            low = np.bincount(cell, weights=(s & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=cells)
-            high = np.bincount(cell, weights=(s >> np.uint64(32)).astype(np.float64), minlength=cells)
-            held = np.bincount(cell, minlength=cells).astype(np.uint64)
-            content = mix(mix(low.astype(np.uint64)) + high.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + held).reshape(groups, parts)
-            filled = held.reshape(groups, parts) > 0
+            held = sizes[some]
+            first = np.cumsum(held) - held
+            place = np.arange(held.sum()) + np.repeat(bounds[some] - first, held)
+            cell = (s[place] % np.uint64(cells)).astype(np.int64) + np.repeat(np.arange(len(some)) * cells, held)
+            # Sums in doubles: equal contents come in equal order, so equal sums; an empty cell is 0.
+            content = np.bincount(cell, weights=weight[place], minlength=len(some) * cells).reshape(-1, groups, parts)
+            filled = content > 0
+            content = mix(content.view(np.uint64))
             where = np.arange(groups).astype(np.uint64) + np.uint64((b + 1) << 40)
-            dead = np.zeros(groups, bool)
+            dead = np.zeros((len(some), groups), bool)
             for j, subset in enumerate(itertools.combinations(range(parts), chosen)):
-                sig = mix(where + np.uint64(j << 32))
-                some = np.zeros(groups, bool)
+                sig = np.broadcast_to(mix(where + np.uint64(j << 32)), dead.shape)
+                full = np.zeros(dead.shape, bool)
                 for p in subset:
-                    sig = mix(sig + content[:, p] * np.uint64(2 * p + 3))
-                    some |= filled[:, p]
-                out.append(sig[some])
-                dead |= ~some
-            if dead.sum() >= good:
-                out.append(mix(np.array([(b + 1) << 40 | 0xFFFFFFFF], np.uint64)))
-        return np.concatenate(out)
+                    sig = mix(sig + content[:, :, p] * np.uint64(2 * p + 3))
+                    full |= filled[:, :, p]
+                sigs.append(sig[full])
+                owners.append(some[np.nonzero(full)[0]])
+                dead |= ~full
+            open_ = some[dead.sum(axis=1) >= good]
+            sigs.append(mix(np.full(len(open_), (b + 1) << 40 | 0xFFFFFFFF, np.uint64)))
+            owners.append(open_)
+        return np.concatenate(sigs), np.concatenate(owners)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def _node(s: np.ndarray) -> tuple[int, int]:
-    """Two independent 64-bit digests of a set."""
-    a = mix(np.array([len(s)], np.uint64) + s.sum(dtype=np.uint64))
-    b = np.bitwise_xor.reduce(mix(s * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))) if len(s) else np.uint64(0)
-    return int(mix(a + mix(s).sum(dtype=np.uint64)).view(np.int64)[0]), int(np.array([b], np.uint64).view(np.int64)[0])
+def _nodes(s: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit digests of each set."""
+    sizes = np.diff(bounds)
+    some = sizes > 0
+    sums, mixed, other = (np.zeros(len(sizes), np.uint64) for _ in range(3))
+    if some.any():
+        at = bounds[:-1][some]
+        sums[some] = np.add.reduceat(s, at)
+        mixed[some] = np.add.reduceat(mix(s), at)
+        other[some] = np.bitwise_xor.reduceat(mix(s * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)), at)
+    return mix(mix(sizes.astype(np.uint64) + sums) + mixed).view(np.int64), other.view(np.int64)
 
 
 def _cells(sketches: list[bytes]) -> np.ndarray:
-    """The counts of sketches, a row each (in no order of the cells that matters)."""
+    """The counts of sketches of one size, a row each: even cells, then odd ones."""
     x = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1).astype(np.int16)
-    return np.concatenate([x & 15, x >> 4], axis=1)
-
-
-def sketch(s: np.ndarray) -> bytes:
-    """How many elements fall into each of CELLS cells, up to 15, two cells a
-    byte. The cells of two sets differ by no more than the sets do."""
-    c = np.minimum(np.bincount((s >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS), 15).astype(np.uint8)
+    return np.stack([x & 15, x >> 4], axis=1)
+
+
+def _apart(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """In how many elements two sets differ at least, by their sketches; one
+    with more cells is folded to the other's."""
+    out = np.zeros(len(a), np.int64)
+    sizes = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)])
+    for la, lb in np.unique(sizes, axis=0).tolist():
+        at = np.flatnonzero((sizes[:, 0] == la) & (sizes[:, 1] == lb))
+        x, y = _cells([a[i] for i in at]), _cells([b[i] for i in at])
+        while x.shape[2] != y.shape[2]:
+            if x.shape[2] < y.shape[2]:
+                x, y = y, x
+            half = x.shape[2] // 2
+            x = np.minimum(x[:, :, :half] + x[:, :, half:], 15)
+        out[at] = np.abs(x - y).sum(axis=(1, 2))
+    return out
+
+
+def sketch(s: np.ndarray, cells: int = 0) -> bytes:
+    """How many elements fall into each of the cells (a power of two; by default one or
+    two cells per element), up to 15, two cells a byte. The cells of two sets differ by no more than the sets do."""
+    cells = cells or max(64, 1 << int(len(s)).bit_length())
+    at = (s >> np.uint64(40)).astype(np.int64) & (cells - 1)
+    c = np.minimum(np.bincount(at, minlength=cells), 15).astype(np.uint8)
     return (c[::2] | c[1::2] << 4).tobytes()
 
 
 def digests(rows: DataFrame) -> DataFrame:
-    """(doc_id, h, n, node, node2, sketch) of (doc_id, h, t)."""
+    """(doc_id, h, n, node, node2, sketch, fine) of (doc_id, h, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t) for t in b.column("t").to_pylist()]
-            nodes = [_node(s) for s in sets]
-            yield pa.record_batch([b.column("doc_id"), b.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in nodes], pa.int64()),
-                                   pa.array([x for _, x in nodes], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
-                                  names=["doc_id", "h", "n", "node", "node2", "sketch"])
-
-    return map_batches(rows, run, "doc_id long, h long, n long, node long, node2 long, sketch binary", arrow=True)
+            nodes, nodes2, sizes, coarse, fine = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+            for _, s, bounds in chunks(b.column("t").to_pylist()):
+                one, two = _nodes(s, bounds)
+                nodes.append(one)
+                nodes2.append(two)
+                sizes.append(np.diff(bounds))
+                for i, j in itertools.pairwise(bounds.tolist()):
+                    coarse.append(sketch(s[i:j], CELLS))
+                    fine.append(sketch(s[i:j]))
+            yield pa.record_batch([b.column("doc_id"), b.column("h"), *[pa.array(np.concatenate(x), pa.int64()) for x in (sizes, nodes, nodes2)],
+                                   pa.array(coarse, pa.binary()), pa.array(fine, pa.binary())],
+                                  names=["doc_id", "h", "n", "node", "node2", "sketch", "fine"])
+
+    return map_batches(rows, run, "doc_id long, h long, n long, node long, node2 long, sketch binary, fine binary", arrow=True)
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -153,17 +234,13 @@ def buckets(rows: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme = PartEnum()
         for b in batches:
-            sigs, nodes, sizes = [], [], []
-            for t in b.column("t").to_pylist():
-                s = shingles(t)
-                if len(s):
-                    x = scheme.signatures(s)
-                    sigs.append(x)
-                    nodes.append(np.full(len(x), _node(s)[0]))
-                    sizes.append(np.full(len(x), len(s)))
-            if sigs:
-                yield pa.record_batch([_signed(np.concatenate(sigs)), pa.array(np.concatenate(nodes), pa.int64()),
-                                       pa.array(np.concatenate(sizes), pa.int64())], names=["sig", "node", "n"])
+            for _, s, bounds in chunks(b.column("t").to_pylist()):
+                sigs, owner = scheme.of_sets(s, bounds)
+                nodes, sizes = _nodes(s, bounds)[0], np.diff(bounds)
+                for at in range(0, len(sigs), 1 << 16):
+                    mine = owner[at:at + (1 << 16)]
+                    yield pa.record_batch([_signed(sigs[at:at + (1 << 16)]), pa.array(nodes[mine], pa.int64()), pa.array(sizes[mine], pa.int64())],
+                                          names=["sig", "node", "n"])
 
     return shared(map_batches(rows, sign, "sig long, node long, n long", arrow=True))
 
@@ -217,23 +294,27 @@ def star_pairs(m: DataFrame) -> DataFrame:
 
 
 def possible(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches leave open: similar sets of
-    sizes x and y differ in (x + y) / 7 elements at most."""
-    one = reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    """The pairs (a, b) that sizes and sketches leave open, the small sketches
+    first: similar sets of sizes x and y differ in (x + y) / 7 elements at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (_cells(batch.column(c).to_pylist()) for c in ("sa", "sb"))
-            apart = np.abs(x - y).sum(axis=1)
             total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(7 * apart <= total))
+            keep = []
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                keep.append(7 * _apart(part.column("sa").to_pylist(), part.column("sb").to_pylist()) <= total[at:at + 4096])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(np.concatenate(keep)))
 
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
-    both.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
-    return both.mapInArrow(run, "a long, b long")
+    pairs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    for name in ("sketch", "fine"):
+        one = reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(name).alias("sa"))
+        two = reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(name).alias("sb"))
+        both = pairs.join(one, "a").join(two, "b").where(similar_sizes("na", "nb"))
+        pairs = both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -277,15 +358,17 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
         names, counts = cast.value
         for b in batches:
             out = []
-            for node, t in zip(b.column("node").to_pylist(), b.column("t").to_pylist(), strict=True):
-                s = shingles(t)
-                n = len(s)
-                seen = np.zeros(n, np.int64)
+            nodes = b.column("node").to_pylist()
+            for lead, s, bounds in chunks(b.column("t").to_pylist()):
+                seen = np.zeros(len(s), np.int64)
                 if len(names):
                     at = np.minimum(np.searchsorted(names, s), len(names) - 1)
                     seen = np.where(names[at] == s, counts[at], 0)
-                first = s[np.lexsort((s, seen))][:n - -(-3 * n // 4) + 1]
-                out.append((first, np.full(len(first), node), n << PLACES | np.arange(len(first))))
+                for k, (i, j) in enumerate(itertools.pairwise(bounds.tolist())):
+                    n = j - i
+                    # The set is sorted: a stable sort by counts leaves equal counts in the order of hashes.
+                    first = s[i:j][np.argsort(seen[i:j], kind="stable")[:n - -(-3 * n // 4) + 1]]
+                    out.append((first, np.full(len(first), nodes[lead + k]), n << PLACES | np.arange(len(first))))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["sig", "node", "n"])
@@ -340,7 +423,7 @@ def link_counts(texts: DataFrame, groups: DataFrame) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = [shingles(t) for t in b.column("t").to_pylist()]
-            yield pa.record_batch([*b.columns[:-1], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([sketch(x) for x in s], pa.binary())],
+            yield pa.record_batch([*b.columns[:-1], pa.array([x.tobytes() for x in s], pa.binary()), pa.array([sketch(x, CELLS) for x in s], pa.binary())],
                                   names=[*b.schema.names[:-1], "s", "sketch"])
 
     members = texts.join(blocks, "node").select("component", "blocks", "node", "t")
@@ -365,7 +448,7 @@ def link_counts(texts: DataFrame, groups: DataFrame) -> DataFrame:
                         yield out(names, counts[:len(held)])
                     key, held, names = (component, lo, hi), [], []
                     cells, sizes, counts = np.zeros((BLOCK, CELLS), np.int16), np.zeros(BLOCK, np.int64), np.zeros(BLOCK, np.int64)
-                s, cell, k, mine = np.frombuffer(raw, np.uint64), _cells([sk])[0], len(held), 0
+                s, cell, k, mine = np.frombuffer(raw, np.uint64), _cells([sk]).ravel(), len(held), 0
                 n = len(s)
                 if k and (lo == hi or own == hi):
                     near = np.flatnonzero((3 * np.maximum(sizes[:k], n) <= 4 * np.minimum(sizes[:k], n)))
@@ -415,7 +498,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     release(m)
     # Of each set, the first of its rows: by id, null ids last, then by text.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "h")).alias("first")
-    reps = all_docs.where("n > 0").groupBy("node", "node2").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    reps = all_docs.where("n > 0").groupBy("node", "node2").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine"))
     reps = written(reps.join(m.select("node").distinct(), "node", "left_semi").drop("node2"), "representatives")
     theirs = reps.select("node", F.col("first.id").alias("id"), F.col("first.h").alias("h"))
     same = (rows["h"] == theirs["h"]) & rows["doc_id"].eqNullSafe(theirs["id"])
