@@ -32,6 +32,8 @@ from goldvein.llm.words import words_of
 
 #: Pages that training reads at most: those with the smallest hashes of their ids.
 SAMPLE_PAGES = 300
+#: Blocks that the pages of the training sample have together at most; a page is trained on whole or not at all.
+SAMPLE_BLOCKS = 20_000
 
 # Element names of HTML by how they show.
 RAW = "script|style|noscript|template|textarea|svg|iframe|object|math"
@@ -244,11 +246,10 @@ class Labeller:
     def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 8, batch: int = 32, rate: float = 0.01, seed: int = 11) -> None:
         r, m, v, step = np.random.default_rng(seed), {}, {}, 0
         for epoch in range(epochs):
-            order = r.permutation(len(pages))
-            for at in range(0, len(order), batch):
-                x, lengths = padded([pages[k][0] for k in order[at:at + batch]])
+            for group in groups_of(r.permutation(len(pages)), [len(p[1]) for p in pages], batch):
+                x, lengths = padded([pages[k][0] for k in group])
                 y = np.zeros(x.shape[:2], np.float32)
-                for j, k in enumerate(order[at:at + batch]):
+                for j, k in enumerate(group):
                     y[:lengths[j], j] = pages[k][1]
                 step += 1
                 for k, g in self.gradients(x, lengths, y).items():
@@ -271,6 +272,18 @@ class Labeller:
         return out
 
 
+def groups_of(order: np.ndarray, lengths: list[int], batch: int, most: int = 16_384) -> Iterator[list[int]]:
+    """``order`` cut into groups of ``batch`` pages, fewer where padding them would take over ``most`` blocks."""
+    group: list[int] = []
+    for k in order.tolist():
+        if group and (len(group) == batch or (len(group) + 1) * max(lengths[k], *(lengths[j] for j in group)) > most):
+            yield group
+            group = []
+        group.append(k)
+    if group:
+        yield group
+
+
 def padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(s) for s in seqs])
     x = np.zeros((lengths.max(), len(seqs), DIM), np.float32)
@@ -311,13 +324,18 @@ def variation(blocks: list[tuple[tuple, str, float]], r: np.random.Generator, na
     return out
 
 
-def train_labeller(pages: list[str], variations: int = 3, seed: int = 5) -> Labeller:
+def train_labeller(pages: list[str], variations: int = 3, seed: int = 5, sample_blocks: int = SAMPLE_BLOCKS) -> Labeller:
+    """A network fitted to the whole block sequences of the pages and variations
+    of them; a page that would take the sample over ``sample_blocks`` blocks is left out."""
     r, net = np.random.default_rng(seed), Labeller()
     names = sorted(BOILERPLATE - {"head", "title", "byline"})
-    given = []
+    given, left = [], sample_blocks
     for page in pages:
-        blocks = blocks_of(page)[:80]  # a training sequence, not a text: labelling reads whole pages
-        for k in range(1 + variations if blocks else 0):
+        blocks = blocks_of(page)
+        if not blocks or len(blocks) > left:
+            continue
+        left -= len(blocks)
+        for k in range(1 + variations):
             seq = variation(blocks, r, names) if k else blocks
             given.append((block_vectors(seq), np.array([markup_label(p) for p, _, _ in seq], np.float32)))
     if given:
@@ -326,23 +344,27 @@ def train_labeller(pages: list[str], variations: int = 3, seed: int = 5) -> Labe
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-                      sample_pages: int = SAMPLE_PAGES) -> DataFrame:
+                      sample_pages: int = SAMPLE_PAGES, sample_blocks: int = SAMPLE_BLOCKS) -> DataFrame:
     """One row per page: page_id, url, text, n_blocks, n_main.
 
     ``text`` joins the blocks judged to be the article, in page order, by one
     blank; empty if there are none. Null html counts as empty; null ids and
     urls stay null, repeated rows stay, other columns are ignored; an empty
-    table gives an empty result. Training reads at most ``sample_pages``
-    pages; labelling reads every page whole.
+    table gives an empty result. Training reads at most ``sample_pages`` different
+    pages, whole, of ``sample_blocks`` blocks together; labelling reads every page whole.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
                         F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"))
     # Which pages are in the sample is settled on their hashes, so only its own pages are sent.
     hashed = rows.where("html != ''").withColumn("hash", F.xxhash64("page_id", "url", "html"))
-    least = [r["hash"] for r in hashed.select("hash").orderBy("hash").limit(sample_pages).collect()]
-    sample = hashed.where(F.col("hash") <= least[-1]).orderBy("hash").limit(sample_pages).collect() if least else []
-    net = spark.sparkContext.broadcast(train_labeller([r["html"] for r in sample]).p)
+    least = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(sample_pages).collect()]
+    sample = []
+    if least:
+        # One row of each hash: equal rows, however many, are one page of the sample.
+        once = hashed.where(F.col("hash") <= least[-1]).groupBy("hash").agg(F.min("html").alias("html"))
+        sample = once.orderBy("hash").limit(sample_pages).collect()
+    net = spark.sparkContext.broadcast(train_labeller([r["html"] for r in sample], sample_blocks=sample_blocks).p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller()

@@ -519,3 +519,38 @@ def test_extract_main_text(spark):
     assert wrong <= 1
     assert "First boldly said." in out[902].text and "Nice post" not in out[902].text and "Buy this" not in out[902].text
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_labeller_trains_on_whole_pages(monkeypatch):
+    from goldvein.llm import html_extract as he
+    seen = []
+    monkeypatch.setattr(he.Labeller, "fit", lambda self, pages: seen.extend(len(y) for _, y in pages))
+    page = "<html><body><article>" + "".join(f"<p>Paragraph number {i} of a long page.</p>" for i in range(200)) + "</article></body></html>"
+    he.train_labeller([page], variations=0)
+    he.train_labeller([page, page, "<p>short</p>"], variations=0, sample_blocks=300)  # the second does not fit, the third does
+    assert seen == [200, 200, 1]
+
+
+def test_labeller_groups_bound_padding():
+    from goldvein.llm.html_extract import groups_of
+    lengths = [10, 9000, 3, 5, 20000, 7]
+    got_groups = list(groups_of(np.arange(6), lengths, 2))
+    assert [k for g in got_groups for k in g] == list(range(6))
+    assert all(len(g) == 1 or len(g) <= 2 and len(g) * max(lengths[k] for k in g) <= 16_384 for g in got_groups)
+
+
+def test_shingle_sets_equal_single_texts():
+    from goldvein.llm.jaccard_join import shingle_sets, shingles
+    texts = ["", " \n ", "a", "a b c", "a b c d e", " x y z a b c x y z a b c x y z a b c\n", "A B c D e f", "\u00e9t\u00e9 " * 30]
+    values, bounds = shingle_sets(texts)
+    assert all(np.array_equal(values[bounds[i]:bounds[i + 1]], shingles(t)) for i, t in enumerate(texts))
+
+
+def test_sketches_of_unlike_sizes_bound_the_difference():
+    from goldvein.llm.jaccard_join import _apart, sketch
+    r = np.random.default_rng(3)
+    for n, m in ((60, 70), (300, 250), (1000, 1100), (5, 5)):
+        both = np.unique(r.integers(0, 2**63, n + m, dtype=np.uint64))
+        a, b = both[:n], both[n // 2:]
+        assert _apart([sketch(a)], [sketch(b)])[0] <= len(np.setxor1d(a, b))
+        assert _apart([sketch(a)], [sketch(a)])[0] == 0
