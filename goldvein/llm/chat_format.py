@@ -5,7 +5,8 @@ that speaker as the assistant and all others as named users, as one row per
 turn: the rendered segment, its place in the rendering, and the span that a
 loss should count. The segments of a (conversation, perspective) in order are
 the rendering; a conversation of any length is never put together in one
-task.
+task: turns are dealt by range of (conversation, turn, speaker, text), and the
+places of a conversation's earlier ranges are added to those within a range.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Turn numbers that one window group spans; places are added up in two levels.
-BUCKET = 256
+from goldvein.llm.common import written
+
 END = "<|end|>\n"
 
 
@@ -50,7 +51,12 @@ def rotate_perspectives(turns: DataFrame, conv_id: str = "conv_id", turn: str =
     rows = turns.select(
         F.col(f"`{conv_id}`").alias("conv_id"), F.col(f"`{turn}`").cast("long").alias("turn"), speaker.alias("speaker"),
         clean(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).alias("t"))
-    rows = rows.withColumn("bucket", F.floor(F.col("turn") / BUCKET))
+    # Equal rows are told apart by where they were read, so that they too spread over ranges. Written once:
+    # every use below must see the same ranges.
+    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("tie", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(parts, "conv_id", "turn", "speaker", "t", "tie")
+    rows = written(rows.withColumn("bucket", F.spark_partition_id()).drop("tie"), "turns")
     context = F.col("speaker").isin(*context_roles) if context_roles else F.lit(False)
     views = _hidden(rows.where(~context).select("conv_id", F.col("speaker").alias("perspective")).distinct(), "conv_id")
 

@@ -148,6 +148,30 @@ def test_perspectives_by_hand(spark):
     assert rotate_perspectives(df.limit(0)).count() == 0
 
 
+def test_perspectives_of_equal_turns_spread(spark):
+    """One conversation whose turns are all null or all equal, most rows repeated: every
+    rendering equals the one put together by hand, and no range holds it whole."""
+    import goldvein.llm.chat_format as chat
+
+    rng = random.Random(5)
+    for turn in (None, 7):
+        rows = [(1, turn, rng.choice(["ann", "bob"]), rng.choice(["x", "yy", "zzz"])) for _ in range(400)] + [(2, turn, "eve", "w")]
+        kept = []
+        real = chat.written
+        chat.written = lambda df, name: kept.append(real(df, name)) or kept[-1]
+        try:
+            out = rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+        finally:
+            chat.written = real
+        assert max(r["count"] for r in kept[0].where("conv_id = 1").groupBy("bucket").count().collect()) < 300
+        for who in ("ann", "bob"):
+            got = sorted((r for r in out if r.conv_id == 1 and r.perspective == who), key=lambda r: r.position)
+            assert [r.position for r in got] == list(range(400))
+            assert [(r.speaker, r.segment.split(">\n", 1)[1]) for r in got] == [(s, t + "<|end|>\n") for _, _, s, t in sorted(rows[:400], key=lambda r: r[2:])]
+            text = "".join(r.segment for r in got)
+            assert all(text[r.start:r.start + r.length] == r.segment for r in got)
+
+
 # ---------------------------------------------------------------- Jaccard join
 
 def brute_components(rows):
