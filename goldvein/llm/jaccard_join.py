@@ -246,36 +246,31 @@ def buckets(rows: DataFrame) -> DataFrame:
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """Of (sig, node, n), the distinct rows whose sig another node has too. One
-    exchange; a task streams its sorted rows and holds one of them."""
+    """Of (sig, node, n), the rows whose sig another node has too, once each (a row of a
+    sig that several record batches hold may come again). One exchange, sorted by
+    sig alone, which Spark does by radix; a task streams its rows and holds one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, linked = np.zeros((3, 0), np.int64), False  # linked: the held row has a neighbour of its bucket before it
-
-        def out(x: np.ndarray) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(x[0], pa.int64()), pa.array(x[1], pa.int64()), pa.array(x[2], pa.int64())],
-                                   names=["sig", "node", "n"])
-
+        held, sent = np.zeros((3, 0), np.int64), False  # the first row of the sig that may go on; sent: it is out already
         for b in batches:
             x = np.concatenate([held, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])], axis=1)
-            fresh = np.ones(x.shape[1], bool)
-            fresh[1:] = (x[0, 1:] != x[0, :-1]) | (x[1, 1:] != x[1, :-1])
-            x = x[:, fresh]
             if not x.shape[1]:
                 continue
-            same = x[0, 1:] == x[0, :-1]
-            keep = np.zeros(x.shape[1], bool)
-            keep[1:] |= same
-            keep[:-1] |= same
-            keep[0] |= linked
-            held, linked = x[:, -1:], bool(keep[-1])
-            if keep[:-1].any():
-                yield out(x[:, :-1][:, keep[:-1]])
-        if linked:
-            yield out(held)
+            starts = np.flatnonzero(np.concatenate([[True], x[0, 1:] != x[0, :-1]]))
+            several = np.minimum.reduceat(x[1], starts) != np.maximum.reduceat(x[1], starts)
+            several[0] |= sent
+            y = x[:, np.repeat(several, np.diff(np.append(starts, x.shape[1])))]
+            if sent:
+                y = y[:, (y[0] != held[0]) | (y[1] != held[1])]
+            held, sent = x[:, starts[-1]:][:, :1], bool(several[-1])
+            y = y[:, np.lexsort((y[1], y[0]))]
+            fresh = np.ones(y.shape[1], bool)
+            fresh[1:] = (y[0, 1:] != y[0, :-1]) | (y[1, 1:] != y[1, :-1])
+            if fresh.any():
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in y[:, fresh]], names=["sig", "node", "n"])
 
     conf = rows.sparkSession.conf
-    dealt = rows.repartition(int(conf.get("spark.sql.shuffle.partitions")), "sig").sortWithinPartitions("sig", "node")
+    dealt = rows.repartition(int(conf.get("spark.sql.shuffle.partitions")), "sig").sortWithinPartitions("sig")
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
     return dealt.mapInArrow(run, "sig long, node long, n long")
 
@@ -350,8 +345,8 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Distinct (a, b) of different components that share a shingle among the
     n - ceil(3n/4) + 1 first of each, in one order of all shingles: by how
     many of a bounded sample of documents show it, then by hash. Similar sets
-    always share one, whatever the order; and at the first one shared, what comes
-    from there on is room enough for all that they have to share."""
+    always share one, whatever the order; and those they share there, with what can
+    come after, are enough for all that they have to share (a passage alone is not)."""
     cast = open_nodes.sparkSession.sparkContext.broadcast(common_shingles(open_nodes, texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -383,10 +378,13 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
     size, place = F.shiftright("n", PLACES), F.col("n").bitwiseAND((1 << PLACES) - 1)
     one = keys.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), size.alias("na"), (size - place).alias("ra"))
     two = keys.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), size.alias("nb"), (size - place).alias("rb"))
-    # At the first shingle that two similar sets share, what is left of either holds all they share: 3/7 of both sizes.
-    room = 7 * F.least("ra", "rb") >= 3 * (F.col("na") + F.col("nb"))
-    pairs = one.join(two, (one["sig"] == two["sig"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb") & room)
-    return pairs.select("a", "b").distinct()
+    pairs = one.join(two, (one["sig"] == two["sig"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb"))
+    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("ra", "rb")).alias("r"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    # All they share up to the last key they share stands in both prefixes. Of the rest, none stands in
+    # both prefixes, so it is beyond the one that ends first; and similar sets share 3/7 of both sizes.
+    beyond = lambda n: F.ceil(3 * F.col(n) / 4) - 1
+    rest = F.least(F.col("r") - 1, F.greatest(beyond("na"), beyond("nb")))
+    return pairs.where(7 * (F.col("c") + rest) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
 def common_shingles(open_nodes: DataFrame, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
