@@ -411,7 +411,7 @@ def q_merged_groups(spark, d):
 
 # ---------------------------------------------------------------- enrichment
 
-from goldvein.operators import enrich  # noqa: E402
+from goldvein.operators import enrich, text_model  # noqa: E402
 
 
 @register("personas")
@@ -426,6 +426,20 @@ def q_feedback_scored(spark, d):
     return enrich.feedback_scored(fx.event_feedback(spark, d), as_of())
 
 
+@register("personas_trained")
+def q_personas_trained(spark, d):
+    """Personas with a model that learns from the titles that keyword rules know."""
+    contacts = cut_to_table(golden(spark, d).select("contact_key", "job_title"), "titles")
+    return enrich.contact_personas(contacts, as_of(), model=text_model.trained_personas(contacts))
+
+
+@register("feedback_trained")
+def q_feedback_trained(spark, d):
+    """Sentiment with a model that learns from the texts that the lexicon knows."""
+    feedback = fx.event_feedback(spark, d)
+    return enrich.feedback_scored(feedback, as_of(), model=text_model.trained_sentiment(feedback))
+
+
 @register("dq_narrative")
 def q_dq_narrative(spark, d):
     """Narrative from the contact score average, the worst null rate
