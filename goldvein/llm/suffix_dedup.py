@@ -199,7 +199,10 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     # Every row: its text's spans; all of a text of several copies, in all but the smallest id.
     words = F.size(F.filter(F.split("t", SPACE_RE), lambda x: x != "")).alias("n_words")
     every = rows.select("doc", "h", words).where(F.col("n_words") >= LENGTH)
-    every = every.join(texts.select("h", F.col("doc").alias("first_doc"), "copies"), "h").join(placed, "h", "left")
+    # One row per text, written: the join with all rows has an exchange of its own on either side, so a text
+    # that very many rows hold can be split.
+    known = texts.select("h", F.col("doc").alias("first_doc"), "copies").join(placed, "h", "left")
+    every = every.join(written(known.where("copies > 1 OR size(spans) > 0"), "placed"), "h")
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").alias("end"))).cast(kind)
     none = F.array().cast(kind)
     several = F.col("copies") > 1
