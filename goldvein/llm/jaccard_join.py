@@ -37,8 +37,8 @@ from goldvein.llm.common import map_batches, release, written
 from goldvein.llm.words import mix, windows, words_of
 from goldvein.operators.mdm import connected_groups
 
-#: Documents that the order of the prefix join is estimated from, and the share of them that makes a shingle common.
-ORDER_SAMPLE, COMMON = 2000, 0.005
+#: Documents (about) that the order of the prefix join is estimated from, and how many of them make a shingle common.
+ORDER_SAMPLE, COMMON = 20_000, 3
 #: Bits that a shingle's place in the order takes beside its set's size.
 PLACES = 24
 #: Cells of the first sketch that unlike pairs are told apart by; the second has one or two per element.
@@ -47,6 +47,8 @@ CELLS = 256
 CHUNK = 1 << 20
 #: Sets of a component that one block has on average; links are counted by pairs of blocks.
 BLOCK = 256
+#: Sets of a prefix key that one block has on average, and pairs of them that a task looks at at once.
+KEY_BLOCK, PAIRS = 512, 1 << 17
 
 
 def shingles(text: str, n: int = 5) -> np.ndarray:
@@ -246,14 +248,15 @@ def buckets(rows: DataFrame) -> DataFrame:
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """Of (sig, node, n), the rows whose sig another node has too, once each (a row of a
-    sig that several record batches hold may come again). One exchange, sorted by
+    """Of (sig, node, ...), all long, the rows whose sig another node has too, once each (a
+    row of a sig that several record batches hold may come again). One exchange, sorted by
     sig alone, which Spark does by radix; a task streams its rows and holds one of them."""
+    names = rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sent = np.zeros((3, 0), np.int64), False  # the first row of the sig that may go on; sent: it is out already
+        held, sent = np.zeros((len(names), 0), np.int64), False  # the first row of the sig that may go on; sent: it is out already
         for b in batches:
-            x = np.concatenate([held, np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)])], axis=1)
+            x = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])], axis=1)
             if not x.shape[1]:
                 continue
             starts = np.flatnonzero(np.concatenate([[True], x[0, 1:] != x[0, :-1]]))
@@ -267,12 +270,12 @@ def shared(rows: DataFrame) -> DataFrame:
             fresh = np.ones(y.shape[1], bool)
             fresh[1:] = (y[0, 1:] != y[0, :-1]) | (y[1, 1:] != y[1, :-1])
             if fresh.any():
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in y[:, fresh]], names=["sig", "node", "n"])
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in y[:, fresh]], names=names)
 
     conf = rows.sparkSession.conf
     dealt = rows.repartition(int(conf.get("spark.sql.shuffle.partitions")), "sig").sortWithinPartitions("sig")
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
-    return dealt.mapInArrow(run, "sig long, node long, n long")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def similar_sizes(a: str, b: str):
@@ -341,12 +344,12 @@ def unresolved(m: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
     return placed.join(several.select("sig"), "sig", "left_semi").select("node", "component").distinct()
 
 
-def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def prefix_pairs(open_nodes: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """Distinct (a, b) of different components that share a shingle among the
     n - ceil(3n/4) + 1 first of each, in one order of all shingles: by how
-    many of a bounded sample of documents show it, then by hash. Similar sets
-    always share one, whatever the order; and those they share there, with what can
-    come after, are enough for all that they have to share (a passage alone is not)."""
+    many of a sample of documents show it, then by hash. Similar sets
+    always share one, whatever the order. A pair is looked at under its keys
+    and goes on under the first they share at most (``key_pairs``)."""
     cast = open_nodes.sparkSession.sparkContext.broadcast(common_shingles(open_nodes, texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,44 +366,101 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame) -> DataFrame:
                     n = j - i
                     # The set is sorted: a stable sort by counts leaves equal counts in the order of hashes.
                     first = s[i:j][np.argsort(seen[i:j], kind="stable")[:n - -(-3 * n // 4) + 1]]
-                    out.append((first, np.full(len(first), nodes[lead + k]), n << PLACES | np.arange(len(first))))
+                    before = np.concatenate([first[:1], first[:-1]])
+                    out.append((first, np.full(len(first), nodes[lead + k]), n << PLACES | np.arange(len(first)), before))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["sig", "node", "n"])
+                yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), _signed(cols[3])],
+                                      names=["sig", "node", "n", "before"])
 
     rows = texts.join(open_nodes.select("node"), "node", "left_semi").select("node", "t")
-    keys = written(shared(map_batches(rows, run, "sig long, node long, n long", arrow=True)), "prefix-keys")
+    keys = written(shared(map_batches(rows, run, "sig long, node long, n long, before long", arrow=True)), "prefix-keys")
     release(keys)
     keys = keys.join(open_nodes, "node")
     # Keys whose documents are of one component already need no look.
-    several = keys.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
-    keys = keys.join(several, "sig", "left_semi")
-    size, place = F.shiftright("n", PLACES), F.col("n").bitwiseAND((1 << PLACES) - 1)
-    one = keys.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), size.alias("na"), (size - place).alias("ra"))
-    two = keys.select("sig", F.col("node").alias("b"), F.col("component").alias("cb"), size.alias("nb"), (size - place).alias("rb"))
-    pairs = one.join(two, (one["sig"] == two["sig"]) & (F.col("ca") < F.col("cb")) & similar_sizes("na", "nb"))
-    pairs = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.min(F.least("ra", "rb")).alias("r"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    # All they share up to the last key they share stands in both prefixes. Of the rest, none stands in
-    # both prefixes, so it is beyond the one that ends first; and similar sets share 3/7 of both sizes.
-    beyond = lambda n: F.ceil(3 * F.col(n) / 4) - 1
-    rest = F.least(F.col("r") - 1, F.greatest(beyond("na"), beyond("nb")))
-    return pairs.where(7 * (F.col("c") + rest) >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+    groups = keys.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("g"))
+    groups = groups.where("x < y").select("sig", F.ceil(F.col("g") / KEY_BLOCK).cast("int").alias("blocks"))
+    keys = keys.join(groups, "sig").join(reps.select("node", "sketch"), "node")
+    return key_pairs(keys).distinct()
+
+
+def key_pairs(keys: DataFrame) -> DataFrame:
+    """(a, b), a < b, of sets of different components that share a prefix key and can
+    be similar. keys: (sig, node, n, before, component, blocks, sketch); n has the size and the
+    key's place among the set's own, ``before`` is the set's key before it.
+
+    If a pair's first shared key has places i and j, i + j elements before it are
+    not shared, so i + j <= (x + y) / 7 for similar sets of sizes x and y; and a key that
+    follows the same key in both sets is not the first. Under the first one at
+    least, a similar pair passes. A key's sets are cut into blocks by hash, and
+    every pair of blocks is one unit of work, so a key of any size spreads."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = keys.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "sig", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "n", "before", "component", "sketch")
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(x: np.ndarray, cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Of whole units of work: x has the rows of numbers, a column each."""
+            sig, lo, hi, own, node, n, before, component = x
+            size, place = n >> PLACES, n & (1 << PLACES) - 1
+            starts = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
+            ends = np.append(starts[1:], len(sig))
+            after = np.repeat(ends, ends - starts) - np.arange(len(sig)) - 1
+            total, at = np.cumsum(after), 0
+            while at < len(sig):
+                end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")))
+                many = after[at:end]
+                i = np.repeat(np.arange(at, end), many)
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+                keep = (component[i] != component[j]) & ((lo[i] == hi[i]) | (own[i] != own[j]))
+                keep &= (3 * np.maximum(size[i], size[j]) <= 4 * np.minimum(size[i], size[j])) & (7 * (place[i] + place[j]) <= size[i] + size[j])
+                keep &= (before[i] != before[j]) | (place[i] == 0) | (place[j] == 0)
+                i, j, at = i[keep], j[keep], end
+                found = []
+                for k in range(0, len(i), 4096):
+                    y, z = i[k:k + 4096], j[k:k + 4096]
+                    near = 7 * np.abs(cells[y] - cells[z]).sum(axis=(1, 2)) <= size[y] + size[z]
+                    found.append(np.stack([node[y[near]], node[z[near]]]))
+                if found:
+                    two = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+                    if two.shape[1]:
+                        yield pa.record_batch([pa.array(c, pa.int64()) for c in two], names=["a", "b"])
+
+        held, cells = np.zeros((8, 0), np.int64), np.zeros((0, 2, CELLS // 2), np.int8)  # the unit that may go on
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("sig", "lo", "hi", "own", "node", "n", "before", "component")])
+            x, cells = np.concatenate([held, x], axis=1), np.concatenate([cells, _cells(b.column("sketch").to_pylist()).astype(np.int8)])
+            last = int(np.flatnonzero(np.concatenate([[True], (x[:3, 1:] != x[:3, :-1]).any(axis=0)]))[-1])
+            if last:
+                yield from pairs(x[:, :last], cells[:last])
+            held, cells = x[:, last:], cells[last:]
+        if held.shape[1]:
+            yield from pairs(held, cells)
+
+    keys.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def common_shingles(open_nodes: DataFrame, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that at least COMMON of a bounded sample of the texts show, with how many do."""
-    ids = open_nodes.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(ORDER_SAMPLE)
-    sample = texts.join(F.broadcast(ids), "node", "left_semi").select("t")
+    """Shingles that at least COMMON of about ORDER_SAMPLE texts (all, if fewer) show, with how many do."""
+    ids, total = open_nodes.select("node").distinct(), open_nodes.select("node").distinct().count()
+    if total > ORDER_SAMPLE:
+        ids = ids.where(F.pmod(F.xxhash64("node"), F.lit(total)) < ORDER_SAMPLE)
+    sample = texts.join(ids, "node", "left_semi").select("t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b.column("t").to_pylist():
-                yield pa.record_batch([_signed(shingles(t))], names=["s"])
+            for _, s, _ in chunks(b.column("t").to_pylist()):
+                yield pa.record_batch([_signed(s)], names=["s"])
 
-    counted = sample.mapInArrow(run, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("c"))
-    got = counted.where(F.col("c") >= max(2, int(ORDER_SAMPLE * COMMON))).collect()
-    names = np.array([r["s"] for r in got], np.int64).view(np.uint64)
-    counts = np.array([r["c"] for r in got], np.int64)
+    counted = map_batches(sample, run, "s long", arrow=True).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    got = counted.where(F.col("c") >= COMMON).toArrow()
+    names, counts = (got.column(c).to_numpy().astype(np.int64) for c in ("s", "c"))
+    names = names.view(np.uint64)
     order = np.argsort(names)
     return names[order], counts[order]
 
@@ -508,7 +568,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     groups = connected_groups(links, "a", "b")
     open_nodes = written(unresolved(m, reps, groups), "open-nodes")
     release(m)
-    more = written(possible(prefix_pairs(open_nodes, texts), reps), "prefix-pairs")
+    more = written(possible(prefix_pairs(open_nodes, texts, reps), reps), "prefix-pairs")
     release(m)
     links = written(links.unionByName(verified(more, texts)).where("a != b").distinct(), "links")
     release(m)

@@ -578,3 +578,25 @@ def test_sketches_of_unlike_sizes_bound_the_difference():
         a, b = both[:n], both[n // 2:]
         assert _apart([sketch(a)], [sketch(b)])[0] <= len(np.setxor1d(a, b))
         assert _apart([sketch(a)], [sketch(a)])[0] == 0
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_prefix_pairs_of_a_family_are_told_apart_within_their_key(spark, monkeypatch, block):
+    """Sixty texts that share much but are not similar, and five similar ones: all similar pairs come, hardly any other."""
+    from goldvein.llm import jaccard_join as J
+    monkeypatch.setattr(J, "KEY_BLOCK", block)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(100)]
+    texts = []
+    for k in range(60):
+        own = rng.sample(range(100), 8)
+        texts.append(" ".join(f"x{k}-{i}" if i in own else w for i, w in enumerate(base)))
+    texts += [" ".join([*base[:90], *[f"y{k}{i}" for i in range(4)]]) for k in range(5)]
+    rows = list(enumerate(texts))
+    sets = [set(J.shingles(t).tolist()) for t in texts]
+    similar = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    nodes = spark.createDataFrame([(i, i) for i, _ in rows], "node long, component long")
+    reps = spark.createDataFrame([(i, bytearray(J.sketch(J.shingles(t), J.CELLS))) for i, t in rows], "node long, sketch binary")
+    out = [tuple(r) for r in J.prefix_pairs(nodes, spark.createDataFrame(rows, "node long, t string"), reps).collect()]
+    assert len(out) == len(set(out)) and similar <= set(out) and len(similar) >= 10
+    assert len(out) < 0.2 * 65 * 64 / 2
