@@ -89,3 +89,15 @@ def test_trained_sentiment(spark):
     assert got["the parking place"].sentiment_score > 0 > got["a queue of people"].sentiment_score
     assert got["great parking near venue"].sentiment_score == 1.0
     assert all(-1 <= r.sentiment_score <= 1 for r in got.values()) and "short" not in got
+
+
+def test_texts_are_scored_where_they_are(spark, capsys):
+    """Neither texts nor their words are sent to other tasks to be scored; training sends each word once per task."""
+    known = spark.createDataFrame([("good parking", "P"), ("bad queue", "N")], "t string, label string")
+    model = text_model.train(known, "t", "label", ("N", "P"))
+    df = spark.createDataFrame([(i, "parking " * 50) for i in range(20)], "n int, t string")
+    out = text_model.classify(df, model, "t")
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("ArrowEvalPython") == 1
+    assert {(r.label, r.n_features) for r in out.collect()} == {("P", 50 * 8)}
