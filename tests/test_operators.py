@@ -416,3 +416,18 @@ def test_balls_that_are_apart_hold_no_similar_vectors():
             seen += 1
             assert np.arccos(np.clip(x @ y.T, -1, 1)).min() > limit
     assert seen > 20
+
+
+def test_pairs_of_copies_are_ordered_and_not_joined_again(spark, capsys):
+    """Equal similarities are ordered by keys, so copies spread over the tasks of the sort; e-mails and names come along with a pair."""
+    from goldvein.operators.duplicates import potential_duplicates
+    rows = [(f"k{i:02d}", f"u{i % 7}@x.org", "Ann", "Lee", "Acme") for i in range(30)] + [("z1", "z@x.org", "Ann", "Leer", "Acme"), ("z2", None, "Ann", "Lee", "Acme")]
+    contacts = spark.createDataFrame(rows, "contact_key string, email string, first_name string, last_name string, company_name string")
+    out = potential_duplicates(contacts, threshold=0.5, block_rows=4)
+    got = [tuple(r) for r in out.select("similarity_score", "contact_key_a", "contact_key_b").collect()]
+    assert got == sorted(got, key=lambda r: (-r[0], r[1], r[2]))
+    copies = {(a[0], b[0]) for a in rows[:30] for b in rows[:30] if a[0] < b[0] and a[1] != b[1]}
+    assert sorted(r[1:] for r in got if r[0] == 1.0) == sorted(copies)
+    assert len(got) == len(copies) + 30 and all(r.email_a != r.email_b and r.name_b.startswith("Ann Lee") for r in out.collect())
+    potential_duplicates(contacts, sort=False).explain()
+    assert capsys.readouterr().out.count("Join") <= 2 * 6
