@@ -594,8 +594,9 @@ def q_dictionary_run(spark, d):
 @register("review_queue")
 def q_review_queue(spark, d):
     """L4: steward queue of rank > 1 records and MEDIUM pairs."""
-    ranked = mdm.ranked_records(scored(spark, d), as_of())
-    pairs = mdm.with_match_tier(potential_duplicates(golden(spark, d), threshold=MDM_MATCH_THRESHOLD,
+    s = cut_to_table(scored(spark, d), "scored")   # read four times: written once
+    ranked = mdm.ranked_records(s, as_of())
+    pairs = mdm.with_match_tier(potential_duplicates(mdm.golden_records(s, as_of()), threshold=MDM_MATCH_THRESHOLD,
                                                      sort=False))
     return mdm.review_queue(ranked, pairs)
 
