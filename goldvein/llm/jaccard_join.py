@@ -26,7 +26,7 @@ if that column is asked for.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ PLACES = 24
 CELLS = 256
 #: Bytes of text that are cut into shingles at once.
 CHUNK = 1 << 20
+#: Rows that a task packs for the exchange at once, and that it looks at together after it.
+PACKED, SETTLED = 1 << 17, 1 << 20
 #: Sets of a component that one block has on average; links are counted by pairs of blocks.
 BLOCK = 256
 #: Sets of a prefix key that one block has on average, and pairs of them that a task looks at at once.
@@ -126,7 +128,11 @@ class PartEnum:
     def of_sets(self, s: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(signatures, number of the set) of sorted sets one after another: under
         each set's own band and the one below; a set with too many empty subsets
-        also gets the band's common one. Empty sets have none."""
+        also gets the band's common one. Empty sets have none.
+
+        Where any error spoils a group, the first bad + 1 groups that are not
+        empty are enough: similar sets agree in all unspoiled groups, and of the
+        groups before the first of these that is not empty, each set can only hold spoiled ones."""
         sigs, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         sizes = np.diff(bounds)
         own = np.array([self.band(int(n)) for n in sizes], np.int64)
@@ -151,9 +157,13 @@ class PartEnum:
                 for p in subset:
                     sig = mix(sig + content[:, :, p] * np.uint64(2 * p + 3))
                     full |= filled[:, :, p]
+                if parts == 1:
+                    dead |= ~full
+                    full &= np.cumsum(full, axis=1) <= groups - good + 1
                 sigs.append(sig[full])
                 owners.append(some[np.nonzero(full)[0]])
-                dead |= ~full
+                if parts > 1:
+                    dead |= ~full
             open_ = some[dead.sum(axis=1) >= good]
             sigs.append(mix(np.full(len(open_), (b + 1) << 40 | 0xFFFFFFFF, np.uint64)))
             owners.append(open_)
@@ -233,49 +243,86 @@ def digests(rows: DataFrame) -> DataFrame:
 def buckets(rows: DataFrame) -> DataFrame:
     """(sig, node, n) for every signature that different sets share."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         scheme = PartEnum()
         for b in batches:
             for _, s, bounds in chunks(b.column("t").to_pylist()):
                 sigs, owner = scheme.of_sets(s, bounds)
-                nodes, sizes = _nodes(s, bounds)[0], np.diff(bounds)
-                for at in range(0, len(sigs), 1 << 16):
-                    mine = owner[at:at + (1 << 16)]
-                    yield pa.record_batch([_signed(sigs[at:at + (1 << 16)]), pa.array(nodes[mine], pa.int64()), pa.array(sizes[mine], pa.int64())],
-                                          names=["sig", "node", "n"])
+                yield np.stack([sigs.view(np.int64), _nodes(s, bounds)[0][owner], np.diff(bounds)[owner]])
 
-    return shared(map_batches(rows, sign, "sig long, node long, n long", arrow=True))
+    return shared(rows, sign, ["sig", "node", "n"])
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """Of (sig, node, ...), all long, the rows whose sig another node has too, once each (a
-    row of a sig that several record batches hold may come again). One exchange, sorted by
-    sig alone, which Spark does by radix; a task streams its rows and holds one of them."""
-    names = rows.columns
+def shared(texts: DataFrame, made: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], names: list[str]) -> DataFrame:
+    """Of the rows (sig, node, ...), all long, that ``made`` makes of the texts as arrays of a line
+    for each column, those whose sig another node has too, once each (a row of a sig
+    that a task looks at several times may come again).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, sent = np.zeros((len(names), 0), np.int64), False  # the first row of the sig that may go on; sent: it is out already
-        for b in batches:
-            x = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])], axis=1)
-            if not x.shape[1]:
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], x[0, 1:] != x[0, :-1]]))
-            several = np.minimum.reduceat(x[1], starts) != np.maximum.reduceat(x[1], starts)
-            several[0] |= sent
-            y = x[:, np.repeat(several, np.diff(np.append(starts, x.shape[1])))]
-            if sent:
-                y = y[:, (y[0] != held[0]) | (y[1] != held[1])]
-            held, sent = x[:, starts[-1]:][:, :1], bool(several[-1])
+    Nearly all sigs are of one node. So rows cross the exchange in blocks of one
+    target partition each, and are sorted as arrays; only those that go on
+    become rows of Spark. A task holds one row of each of its sigs at most, and those it looks at."""
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = map_batches(texts, lambda batches: _packed(made(batches), parts), "part int, block binary", arrow=True)
+    return rows.repartitionById(parts, "part").select("block").mapInArrow(
+        lambda batches: _settled((b.column("block") for b in batches), names), ", ".join(f"{c} long" for c in names))
+
+
+def _packed(arrays: Iterator[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """(part, block) of rows by their first column; a block has the columns one after another."""
+    waiting, size = [], 0
+    for x in itertools.chain(arrays, [None]):
+        if x is not None:
+            waiting.append(x)
+            size += x.shape[1]
+        if size >= PACKED or x is None and size:
+            y = np.concatenate(waiting, axis=1)
+            part = (y[0].view(np.uint64) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+            y = np.take(y, np.argsort(part, kind="stable"), axis=1)
+            edges = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
+            some = np.flatnonzero(np.diff(edges))
+            yield pa.record_batch([pa.array(some, pa.int32()), pa.array([y[:, edges[k]:edges[k + 1]].tobytes() for k in some], pa.binary())], names=["part", "block"])
+            waiting, size = [], 0
+
+
+def _settled(blocks: Iterator[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of blocks whose sig several nodes have."""
+    held, sent = np.zeros((len(names), 0), np.int64), np.zeros(0, bool)  # a row of each sig so far; sent: it is out already
+    waiting, size = [], 0
+    for column in itertools.chain(blocks, [None]):
+        for block in [] if column is None else column.to_pylist():
+            waiting.append(np.frombuffer(block, np.int64).reshape(len(names), -1))
+            size += waiting[-1].shape[1]
+        if not size or column is not None and size < max(SETTLED, len(sent)):
+            continue
+        x = np.concatenate([held, *waiting], axis=1)
+        out = np.concatenate([sent, np.zeros(size, bool)])
+        waiting, size = [], 0
+        order = np.argsort(x[0])
+        sig = x[0, order]
+        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        lengths = np.diff(np.append(starts, len(sig)))
+        lead = order[starts]
+        long = lengths > 1
+        order, lengths = order[np.repeat(long, lengths)], lengths[long]
+        order = order[np.lexsort((order, x[0, order]))]  # of a sig, the held row comes first
+        starts = np.cumsum(lengths) - lengths
+        lead[long] = order[starts]
+        y, first = np.take(x, order, axis=1), np.repeat(lead[long], lengths)
+        several = np.zeros(0, bool)
+        if len(starts):
+            several = (np.minimum.reduceat(y[1], starts) != np.maximum.reduceat(y[1], starts)) | out[lead[long]]
+            # A held row that is out, and its like, stay behind.
+            y = y[:, np.repeat(several, lengths) & ~(out[first] & (y[1] == x[1, first]))]
             y = y[:, np.lexsort((y[1], y[0]))]
             fresh = np.ones(y.shape[1], bool)
             fresh[1:] = (y[0, 1:] != y[0, :-1]) | (y[1, 1:] != y[1, :-1])
-            if fresh.any():
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in y[:, fresh]], names=names)
-
-    conf = rows.sparkSession.conf
-    dealt = rows.repartition(int(conf.get("spark.sql.shuffle.partitions")), "sig").sortWithinPartitions("sig")
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "65536")
-    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+            y = y[:, fresh]
+            for at in range(0, y.shape[1], 1 << 16):
+                yield pa.record_batch([pa.array(c[at:at + (1 << 16)], pa.int64()) for c in y], names=names)
+        if column is not None:
+            now = np.zeros(len(lead), bool)
+            now[long] = several
+            held, sent = x[:, lead], now
 
 
 def similar_sizes(a: str, b: str):
@@ -352,7 +399,7 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame, reps: DataFrame) -> Da
     and goes on under the first they share at most (``key_pairs``)."""
     cast = open_nodes.sparkSession.sparkContext.broadcast(common_shingles(open_nodes, texts))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         names, counts = cast.value
         for b in batches:
             out = []
@@ -367,14 +414,12 @@ def prefix_pairs(open_nodes: DataFrame, texts: DataFrame, reps: DataFrame) -> Da
                     # The set is sorted: a stable sort by counts leaves equal counts in the order of hashes.
                     first = s[i:j][np.argsort(seen[i:j], kind="stable")[:n - -(-3 * n // 4) + 1]]
                     before = np.concatenate([first[:1], first[:-1]])
-                    out.append((first, np.full(len(first), nodes[lead + k]), n << PLACES | np.arange(len(first)), before))
+                    out.append(np.stack([first.view(np.int64), np.full(len(first), nodes[lead + k]), n << PLACES | np.arange(len(first)), before.view(np.int64)]))
             if out:
-                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                yield pa.record_batch([_signed(cols[0]), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), _signed(cols[3])],
-                                      names=["sig", "node", "n", "before"])
+                yield np.concatenate(out, axis=1)
 
     rows = texts.join(open_nodes.select("node"), "node", "left_semi").select("node", "t")
-    keys = written(shared(map_batches(rows, run, "sig long, node long, n long, before long", arrow=True)), "prefix-keys")
+    keys = written(shared(rows, run, ["sig", "node", "n", "before"]), "prefix-keys")
     release(keys)
     keys = keys.join(open_nodes, "node")
     # Keys whose documents are of one component already need no look.

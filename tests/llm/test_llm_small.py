@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,6 +266,56 @@ def test_partenum_similar_sets_share_a_signature():
     assert similar > 500
 
 
+def test_signatures_are_as_few_as_the_errors_allow():
+    """No more than one beyond the errors in each of a set's two bands, besides the bands' common ones."""
+    r = np.random.default_rng(8)
+    scheme = PartEnum()
+    for n in (40, 90, 200, 450, 1500):
+        s = np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
+        own = scheme.band(len(s))
+        errors = sum(groups - good for groups, _, _, good in map(scheme.plan, (own - 1, own)))
+        assert errors // 2 < len(scheme.signatures(s)) <= errors + 4
+
+
+@pytest.mark.parametrize("settled", [1 << 20, 50, 1])
+def test_rows_of_shared_sigs_whatever_their_blocks(monkeypatch, settled):
+    from goldvein.llm import jaccard_join as J
+    monkeypatch.setattr(J, "PACKED", 40)
+    monkeypatch.setattr(J, "SETTLED", settled)
+    r = np.random.default_rng(7)
+    x = np.stack([r.integers(-150, 150, 600) << 40, r.integers(0, 9, 600), np.zeros(600, np.int64)])
+    x[:2, ::5] = np.array([[7], [3]])  # a sig of many copies of one node
+    x[0, ::7] = 11  # and one of all nodes
+    x[2] = x[1] * 10
+    nodes = {}
+    for sig, node, _ in x.T.tolist():
+        nodes.setdefault(sig, set()).add(node)
+    packed = [b.to_pydict() for b in J._packed((x[:, i:i + 9] for i in range(0, 600, 9)), 3)]
+    out = []
+    for part in range(3):
+        blocks = [[v for k, v in zip(b["part"], b["block"], strict=True) if k == part] for b in packed]
+        found = J._settled((pa.array(b, pa.binary()) for b in blocks), ["sig", "node", "n"])
+        out += [tuple(row.values()) for b in found for row in b.to_pylist()]
+    assert set(out) == {(s, n, 10 * n) for s, some in nodes.items() if len(some) > 1 for n in some}
+    assert settled < 1 << 20 or len(out) == len(set(out))
+    assert list(J._settled(iter([]), ["sig", "node"])) == list(J._packed(iter([]), 3)) == []
+
+
+def test_signatures_cross_the_exchange_in_blocks(spark):
+    """Few of the signatures are shared: the others never become rows that Spark sorts."""
+    from goldvein.llm import jaccard_join as J
+    r = random.Random(3)
+    texts = [" ".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=300)) for _ in range(40)]
+    texts.append(texts[0] + " z")
+    m = J.buckets(docs(spark, [(i, t, "s") for i, t in enumerate(texts)]).select(F.col("text").alias("t")))
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "block" in plan and "Sort" not in plan
+    by_sig = {}
+    for sig, node, n in m.collect():
+        by_sig.setdefault(sig, set()).add((node, n))
+    assert by_sig and all({n for _, n in x} == {len(J.shingles(texts[0])), len(J.shingles(texts[-1]))} for x in by_sig.values())
+
+
 # ---------------------------------------------------------------- repeated passages
 
 def brute_spans(rows):
