@@ -26,7 +26,6 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,12 +127,15 @@ def neighbours(rows: DataFrame) -> DataFrame:
     return later.unionByName(inner).unionByName(border)
 
 
-def spans_of(starts: np.ndarray) -> list[tuple[int, int]]:
-    """Union of the runs of LENGTH words at the sorted starts."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > LENGTH) + 1
-    return [(int(s[0]), int(s[-1]) + LENGTH) for s in np.split(starts, cut)]
+def span_lists(starts: np.ndarray, text: np.ndarray, texts: int) -> pa.ListArray:
+    """For each of the texts, the union of the runs of LENGTH words at its starts
+    (sorted by text, then start), as (start, end)."""
+    opens = np.ones(len(starts), bool)
+    opens[1:] = (np.diff(text) > 0) | (np.diff(starts) > LENGTH)
+    begin = np.flatnonzero(opens)
+    end = starts[np.append(begin[1:], len(starts)) - 1] + LENGTH if len(begin) else starts
+    ranges = pa.StructArray.from_arrays([pa.array(starts[begin].astype(np.int32)), pa.array(end.astype(np.int32))], names=["start", "end"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text[begin], np.arange(texts + 1)).astype(np.int32)), ranges)
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -183,18 +185,21 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
 
     found = written(map_batches(todo.select("h", "doc", "t", "entries"), passages, "key long, doc long, h long, pos int", arrow=True), "passages")
     release(rows)
-    hits = neighbours(found).groupBy("h").agg(F.sort_array(F.collect_list(F.struct("pos", "first"))).alias("hits"))
+    # A hit is one number, 2 * pos + first: texts of many hits are kept small while they are collected.
+    hit = F.col("pos").cast("long") * 2 + F.col("first").cast("int")
+    hits = neighbours(found).groupBy("h").agg(F.sort_array(F.collect_list(hit)).alias("hits"))
 
-    def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for hits in pdf["hits"]:
-                pos, first = np.array([x["pos"] for x in hits]), np.array([x["first"] for x in hits], bool)
-                out.append([[{"start": a, "end": b} for a, b in spans_of(p)] for p in (pos, pos[~first])])
-            yield pd.DataFrame({"h": pdf["h"], "spans": [x for x, _ in out], "later": [x for _, x in out]})
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat, sizes = b.column("hits").flatten().to_numpy(zero_copy_only=False), b.column("hits").value_lengths().to_numpy(zero_copy_only=False)
+            text, pos = np.repeat(np.arange(len(sizes)), sizes), flat // 2
+            later = flat % 2 == 0
+            yield pa.record_batch([b.column("h"), span_lists(pos, text, len(sizes)), span_lists(pos[later], text[later], len(sizes))],
+                                  names=["h", "spans", "later"])
 
+    # Few texts at a time: neighbours() left large batches behind, in which the hits of very many texts would be one batch.
     kind = "array<struct<start: int, end: int>>"
-    placed = hits.mapInPandas(spans, f"h long, spans {kind}, later {kind}")
+    placed = map_batches(hits, spans, f"h long, spans {kind}, later {kind}", arrow=True)
 
     # Every row: its text's spans; all of a text of several copies, in all but the smallest id.
     words = F.size(F.filter(F.split("t", SPACE_RE), lambda x: x != "")).alias("n_words")

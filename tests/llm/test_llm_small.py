@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from goldvein.llm import bpe, html_extract, packing
+from goldvein.llm import bpe, html_extract, packing, suffix_dedup as S
 from goldvein.llm.chat_format import rotate_perspectives
 from goldvein.llm.exact_dedup import exact_dedup
 from goldvein.llm.jaccard_join import PartEnum, jaccard_components
@@ -359,6 +359,33 @@ def test_repeated_passages_against_brute_force(spark):
         assert (d in kept) == bool(rest)
 
 
+def test_spans_of_texts_are_built_few_texts_at_a_time(spark, monkeypatch):
+    """The hits of all texts of a task are never one batch: batches of the span step hold few texts, their hits as numbers."""
+    seen, write = {}, S.written
+
+    def watched(df, name):
+        seen[name] = (int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")), df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(S, "written", watched)
+    assert repeated_passages(docs(spark, [(i, LONG, "s") for i in range(3)])).count() == 3
+    batch, plan = seen["placed"]
+    assert batch <= 256 and "MapInArrow" in plan and "MapInPandas" not in plan
+    # Against one text after another, with texts without a start between others.
+    r = random.Random(8)
+    starts = [sorted(r.sample(range(400), r.choice([0, 0, 1, 2, 9, 60]))) for _ in range(40)]
+    want = []
+    for at in starts:
+        want.append([])
+        for p in at:
+            if want[-1] and p <= want[-1][-1]["end"]:
+                want[-1][-1]["end"] = p + LENGTH
+            else:
+                want[-1].append({"start": p, "end": p + LENGTH})
+    flat, text = np.array([p for at in starts for p in at]), np.repeat(np.arange(40), [len(at) for at in starts])
+    assert S.span_lists(flat, text, 40).to_pylist() == want
+    assert S.span_lists(flat[:0], text[:0], 2).to_pylist() == [[], []] and len(S.span_lists(flat[:0], text[:0], 0)) == 0
+
+
 def test_repeated_passages_edges(spark):
     two = [(9, LONG, "b"), (None, LONG, "b")]
     out = {r.doc_id: r for r in repeated_passages(docs(spark, EDGE + two)).collect()}
