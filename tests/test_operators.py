@@ -1,5 +1,6 @@
 """Operators against brute-force Python on hand-made and small inputs."""
 
+import collections
 import datetime as dt
 import itertools
 import math
@@ -431,3 +432,34 @@ def test_pairs_of_copies_are_ordered_and_not_joined_again(spark, capsys):
     assert len(got) == len(copies) + 30 and all(r.email_a != r.email_b and r.name_b.startswith("Ann Lee") for r in out.collect())
     potential_duplicates(contacts, sort=False).explain()
     assert capsys.readouterr().out.count("Join") <= 2 * 6
+
+
+def test_contact_pairs_are_formed_after_the_last_exchange(spark, monkeypatch):
+    """Only blocks of contacts are shuffled, however many pairs they make; blocks, places and splits of any size give all pairs,
+    also with null and repeated keys and e-mails."""
+    r = random.Random(11)
+    names = ["Ann Lee Acme", "Ann Lee Acmf", "Ann Leer Acme", "Ann Lee Acme Inc", "Bob Marley Wailers", "Bob Marley Wailer", "Zed Quux "]
+    rows = [(r.choice([None, *(f"k{i:03d}" for i in range(90))]), r.choice([None, *(f"u{i}@x" for i in range(40))]), *r.choice(names).split(" ", 2))
+            for _ in range(110)] + [("k1000", f"v{i}@x", "Ann", "Lee", "Acme") for i in range(12)]
+    contacts = spark.createDataFrame(rows, "contact_key string, email string, first_name string, last_name string, company_name string")
+    sim = brute_pairs({n: n for n in names}, 0.7)
+    want = collections.Counter()
+    for a, b in itertools.product(rows, rows):
+        x, y = (f"{c[2]} {c[3]} {c[4]}" for c in (a, b))
+        score = 1.0 if x == y else sim.get((x, y), sim.get((y, x)))
+        if score and None not in (a[0], b[0], a[1], b[1]) and a[0] < b[0] and a[1] != b[1]:
+            want[(a[0], b[0], a[1], b[1], x, y, round(score, 9))] += 1
+    dealt, repartition = {}, type(contacts).repartition
+
+    def watched(df, n, *cols):
+        if cols == ("lead", "slot", "split"):
+            dealt["there" if "there" in df.columns else "sent"] = {tuple(x) for x in df.select(*cols).collect()}
+        return repartition(df, n, *cols)
+    monkeypatch.setattr(type(contacts), "repartition", watched)
+    for block in (2, 2_000):
+        out = duplicates.potential_duplicates(contacts, threshold=0.7, sort=False, block_rows=block)
+        assert collections.Counter((*x[:6], round(x[6], 9)) for x in map(tuple, out.collect())) == want
+        assert dealt["sent"] <= dealt["there"]
+        assert block == 2_000 or {s for _, s, _ in dealt["sent"]} > {0} and {s for _, _, s in dealt["sent"]} > {0}
+    top = out._jdf.queryExecution().sparkPlan().toString().split("Exchange")[0]
+    assert top.count("Generate explode(members") == 2 and len(want) > 500
